@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scrutiny import contracts as c
-from scrutiny.functions.scalars import lima_iso
 from scrutiny.harness.registry import query
-from scrutiny.operators import filters
-from scrutiny.plans import analytics, anomalies, curate, dq, export, ingest, maps, padron
+from scrutiny.plans import anomalies, curate, dq, ingest, padron
 
 # --- curation -----------------------------------------------------------------
 
