@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 
-def file_stream(spark: SparkSession, path: str, schema: str, fmt: str = "parquet",
+def file_stream(spark: SparkSession, path: str, schema: str | StructType, fmt: str = "parquet",
                 max_files: int | None = None) -> DataFrame:
     """A file source over a folder, or over one file (or folder) of Parquet.
 

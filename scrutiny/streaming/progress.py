@@ -13,10 +13,15 @@ from scrutiny.streaming.common import overwrite_batch
 LATENESS = "1 hour"
 
 
+def _late_bounded(stream: DataFrame, ts: str) -> DataFrame:
+    """With the watermark, which wants a timestamp with time zone."""
+    return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, LATENESS)
+
+
 def unique_snapshots(snapshots: DataFrame, ts: str = "snapshot_ts",
                      keys: tuple[str, ...] = ("idEleccion", "snapshot_ts")) -> DataFrame:
     """Repeated snapshots collapse to one while they can still arrive."""
-    return snapshots.withWatermark(ts, LATENESS).dropDuplicatesWithinWatermark(list(keys))
+    return _late_bounded(snapshots, ts).dropDuplicatesWithinWatermark(list(keys))
 
 
 def progress_windows(snapshots: DataFrame, ts: str = "snapshot_ts",
@@ -26,7 +31,7 @@ def progress_windows(snapshots: DataFrame, ts: str = "snapshot_ts",
     Works on a stream and on a table alike.
     """
     values = F.struct("contabilizadas", "totalActas", "pct")
-    frame = snapshots.withWatermark(ts, LATENESS) if snapshots.isStreaming else snapshots
+    frame = _late_bounded(snapshots, ts) if snapshots.isStreaming else snapshots
     return (
         frame.groupBy(F.window(ts, every).alias("w"), "idEleccion")
         .agg(F.max_by(values, ts).alias("last"), F.count(F.lit(1)).alias("n"))
