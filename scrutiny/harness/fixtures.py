@@ -11,10 +11,16 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from scrutiny.session import scratch_path
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations")
 
+#: What ``cab`` has beyond ``cab0``.
+FIGURES = ("totalVotosEmitidos", "totalVotosValidos", "totalAsistentes", "totalElectoresHabiles",
+           "porcentajeParticipacionCiudadana")
+
 _ELECTION = ("CAST(CASE {k} % 5 WHEN 0 THEN 10 WHEN 1 THEN 12 WHEN 2 THEN 13 WHEN 3 THEN 14 "
              "ELSE 15 END AS BIGINT)")
 
@@ -192,6 +198,7 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._known: dict[str, DataFrame] = {}
+        self._stored: set[str] = set()
 
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
@@ -205,6 +212,21 @@ class Tables:
                 self._known[name] = self.spark.sql(_dialect(VIEWS[name], "spark"), **inputs)
         return self._known[name]
 
+    def stored(self, name: str) -> DataFrame:
+        """A view written once to the shared folder, as curated tables are in practice.
+
+        For jobs that read it several times; views made from it afterwards read the
+        stored table too.
+        """
+        if name not in self._stored:
+            path = scratch_path(self.spark, name)
+            self(name).write.option("compression", "zstd").parquet(path)
+            self._known[name] = self.spark.read.parquet(path)
+            self._stored.add(name)
+            if name == "cab":
+                self._known["cab0"] = self._known["cab"].drop(*FIGURES)
+        return self._known[name]
+
     def sql(self, text: str, *names: str) -> DataFrame:
         """Run SQL over tables and views named in braces."""
         found = dict.fromkeys(_NAME.findall(text))

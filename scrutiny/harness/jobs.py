@@ -371,12 +371,12 @@ def _(t):
 
 @query("check_stations", "D15 A2 A18", _D15)
 def _(t):
-    return dq.check_stations(t("cab"))
+    return dq.check_stations(t("cab"), levels=[1])
 
 
 @query("check_station_universe", "D21 W4 A2", _D21)
 def _(t):
-    return dq.check_station_universe(t("cab0"), t("of_mesas"))
+    return dq.check_stations(t("cab"), t("of_mesas"), [2])
 
 
 @query("check_actas_by_election", "D22 W4 J14", _D22)
@@ -433,7 +433,8 @@ _ALL_CHECKS = [_D11, _D12, _D13, _D15, _D14, _D31, _D32, _D21, _D22, _D23, _D24,
 
 
 def _report(t):
-    return dq.report(t("cab"), t("votos"), {
+    header = t.stored("cab")
+    return dq.report(header, t("votos"), {
         "mesa_totales": t("of_mesas"), "totales": t("of_totales"), "mapa_calor": t("of_mapa"),
         "participantes": t("of_partidos"), "totales_de": t("of_totales_de"),
         "participantes_de": t("of_partidos_de"),
@@ -617,7 +618,7 @@ _ALL_FINDINGS = " UNION ALL ".join([_N1, _N2, _N3, _N4, _N5, _N6, _N7])
 
 
 def _findings(t, **kwargs):
-    return anomalies.run_all(t("cab"), t("votos"), t("padron"), **kwargs)
+    return anomalies.run_all(t.stored("cab"), t("votos"), t("padron"), **kwargs)
 
 
 @query("anomalies_all", "N8 N1 N2 N3 N4 N5 N6 N7 U2 P13 O1", _ALL_FINDINGS)

@@ -1,15 +1,17 @@
 """Data-quality checks in four levels.
 
 A check is a frame with one row per check: ``level, check, passed, skipped, detail``.
-Checks over the same table share one pass: ``header_audit``, ``votes_audit``,
-``station_audit`` and ``election_audit`` each read their table once and reduce it to one
-row (or one per election), from which the rows of all checks that need it are made.
-Nothing runs until the report is used, and no figure passes through Python.
+Checks over the same table share one pass: ``header_cube``, ``votes_audit``,
+``station_audit`` and ``election_audit`` each read their table once and reduce it to a
+few rows, from which the rows of all checks that need it are made. Nothing runs until
+the report is used, and no figure passes through Python.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +40,13 @@ from scrutiny.operators.versions import last_record, last_snapshot
 
 
 
+_FIGURES = ("totalVotosEmitidos", "totalVotosValidos", "totalElectoresHabiles")
+
+
+def _counted() -> Column:
+    return F.col("codigoEstadoActa") == c.STATE_COUNTED
+
+
 def _check(level: int, name: str, passed: Column, detail: Column,
            skipped: bool = False) -> Column:
     return F.struct(
@@ -64,28 +73,34 @@ def _fields(*names: str) -> Column:
 # --- audits: one pass per table -----------------------------------------------
 
 
-def header_audit(header: DataFrame) -> DataFrame:
-    """One row of counters over the header: ranges, signs, coherence, universe abroad."""
-    counted = F.col("codigoEstadoActa") == c.STATE_COUNTED
+def header_cube(header: DataFrame) -> DataFrame:
+    """The header added up by election, state, department, electoral district and scope.
+
+    A few thousand rows at most, whatever the number of actas, combined map-side: all
+    counts and sums the checks need come from here, so the header is read once for them.
+    """
     emitted, valid = F.col("totalVotosEmitidos"), F.col("totalVotosValidos")
     roll = F.col("totalElectoresHabiles")
-    counters = {
-        "emit_neg": counted & (emitted < 0),
-        "val_neg": counted & (valid < 0),
-        "hab_le_0": counted & (roll <= 0),
-        "emit_gt_hab": counted & (emitted > roll),
-        "val_gt_emit": counted & (valid > emitted),
+    tests = {
+        "emit_neg": emitted < 0,
+        "val_neg": valid < 0,
+        "hab_le_0": roll <= 0,
+        "emit_gt_hab": emitted > roll,
+        "val_gt_emit": valid > emitted,
     }
-    if {"idDistritoElectoral", "idAmbitoGeografico"} <= set(header.columns):
-        district, scope = F.col("idDistritoElectoral"), F.col("idAmbitoGeografico")
-        counters |= {
-            "de27_no_ext": (district == c.ABROAD_DISTRICT) & (scope != c.SCOPE_ABROAD),
-            "ext_no_de27": (scope == c.SCOPE_ABROAD) & (district != c.ABROAD_DISTRICT),
-            "nulls": district.isNull() | scope.isNull(),
-            "abroad_actas": (district == c.ABROAD_DISTRICT)
-            & (F.col("idEleccion") == c.ELECTION_SENATE_NATIONAL),
-        }
-    return header.agg(*[F.count_if(test).alias(name) for name, test in counters.items()])
+    wide = header
+    for name in ("idDistritoElectoral", "idAmbitoGeografico", *_FIGURES):
+        if name not in header.columns:
+            wide = wide.withColumn(name, F.lit(None).cast("bigint"))
+    return wide.groupBy(
+        "idEleccion", "codigoEstadoActa", F.substring("ubigeoDistrito", 1, 2).alias("dep"),
+        "idDistritoElectoral", "idAmbitoGeografico",
+    ).agg(
+        F.count(F.lit(1)).alias("n"),
+        total("totalVotosEmitidos").alias("emit"),
+        total("totalVotosValidos").alias("val"),
+        *[F.count_if(test).alias(name) for name, test in tests.items()],
+    )
 
 
 def votes_per_acta(votes: DataFrame) -> DataFrame:
@@ -168,28 +183,63 @@ def check_votes(votes: DataFrame, header: DataFrame) -> DataFrame:
     )
 
 
-def check_header(header: DataFrame, levels: Iterable[int] = (1, 3)) -> DataFrame:
-    """Ranges and signs (level 1), scope coherence and universe abroad (level 3)."""
+def check_header(header: DataFrame, levels: Iterable[int] = (1, 3),
+                 cube: DataFrame | None = None) -> DataFrame:
+    """Ranges and signs (level 1), scope coherence and universe abroad (level 3).
+
+    Here and below, ``cube`` may pass in a ``header_cube`` that is shared by checks.
+    """
     levels = set(levels)
-    zero = lambda *names: sum((F.col(n) for n in names), F.lit(0)) == 0
-    checks = []
+    if 3 in levels:
+        require_enriched(header)
     ranges = ("emit_neg", "val_neg", "hab_le_0", "emit_gt_hab", "val_gt_emit")
+    coherent = ("de27_no_ext", "ext_no_de27", "nulls")
+    district, scope = F.col("idDistritoElectoral"), F.col("idAmbitoGeografico")
+    one = (header_cube(header) if cube is None else cube).agg(
+        *[total_where(_counted(), name).alias(name) for name in ranges],
+        total_where((district == c.ABROAD_DISTRICT) & (scope != c.SCOPE_ABROAD), "n")
+        .alias("de27_no_ext"),
+        total_where((scope == c.SCOPE_ABROAD) & (district != c.ABROAD_DISTRICT), "n")
+        .alias("ext_no_de27"),
+        total_where(district.isNull() | scope.isNull(), "n").alias("nulls"),
+        total_where((district == c.ABROAD_DISTRICT)
+                    & (F.col("idEleccion") == c.ELECTION_SENATE_NATIONAL), "n")
+        .alias("abroad_actas"),
+    )
+
+    def all_zero(names: Iterable[str]) -> Column:
+        return reduce(and_, [F.col(n) == 0 for n in names])
+
+    checks = []
     if 1 in levels:
-        checks.append(_check(1, "ranges_and_signs", zero(*ranges), _fields(*ranges)))
+        checks.append(_check(1, "ranges_and_signs", all_zero(ranges), _fields(*ranges)))
     if 3 in levels:
-        require_enriched(header)
-        coherent = ("de27_no_ext", "ext_no_de27", "nulls")
         checks += [
-            _check(3, "scope_matches_district", zero(*coherent), _fields(*coherent)),
+            _check(3, "scope_matches_district", all_zero(coherent), _fields(*coherent)),
             _check(3, "universe_abroad", F.col("abroad_actas") == c.ABROAD_UNIVERSE,
                    _fields("abroad_actas")),
         ]
-    return _rows(header_audit(header), *checks)
+    return _rows(one, *checks)
 
 
-def check_stations(header: DataFrame) -> DataFrame:
-    return _rows(station_audit(header),
-                 _check(1, "roll_coherent_by_station", F.col("ok"), _fields("mesas")))
+def check_stations(header: DataFrame, station_totals: DataFrame | None = None,
+                   levels: Iterable[int] = (1, 2)) -> DataFrame:
+    """Coherence of every station's roll (level 1), and their number (level 2).
+
+    The second check compares with the official station totals and needs them.
+    """
+    levels = set(levels)
+    one = station_audit(header)
+    checks = []
+    if 1 in levels:
+        checks.append(_check(1, "roll_coherent_by_station", F.col("ok"), _fields("mesas")))
+    if 2 in levels and station_totals is not None:
+        official = last_snapshot(station_totals).select(F.max(
+            F.col("mesasInstaladas") + F.col("mesasPendientes") + F.col("mesasNoInstaladas")))
+        one = one.withColumns({"oficial": official.scalar(), "curated": F.col("mesas")})
+        checks.append(_check(2, "station_universe", F.col("oficial") == F.col("curated"),
+                             _fields("oficial", "curated")))
+    return _rows(one, *checks)
 
 
 # --- level 2: against official aggregates -------------------------------------
@@ -206,21 +256,11 @@ def freshness(header: DataFrame, totals: DataFrame) -> DataFrame:
     )
 
 
-def check_station_universe(header: DataFrame, station_totals: DataFrame) -> DataFrame:
-    official = last_snapshot(station_totals).select(
-        F.max(F.col("mesasInstaladas") + F.col("mesasPendientes") + F.col("mesasNoInstaladas"))
-        .alias("oficial")
-    )
-    one = header.agg(distinct_values("codigoMesa").alias("curated")).withColumn(
-        "oficial", official.scalar()
-    )
-    return _rows(one, _check(2, "station_universe", F.col("oficial") == F.col("curated"),
-                             _fields("oficial", "curated")))
-
-
-def check_actas_by_election(header: DataFrame, totals: DataFrame) -> DataFrame:
+def check_actas_by_election(header: DataFrame, totals: DataFrame,
+                            cube: DataFrame | None = None) -> DataFrame:
     official = last_snapshot(totals).select("idEleccion", F.col("totalActas").alias("ofi_tot"))
-    counted = header.groupBy("idEleccion").agg(F.count(F.lit(1)).alias("cur_tot"))
+    counted = (header_cube(header) if cube is None else cube).groupBy("idEleccion").agg(
+        F.sum("n").alias("cur_tot"))
     one = official.join(counted, "idEleccion", "inner").agg(
         F.count(F.lit(1)).alias("elections"),
         all_true(F.col("ofi_tot") == F.col("cur_tot")).alias("same"),
@@ -228,7 +268,8 @@ def check_actas_by_election(header: DataFrame, totals: DataFrame) -> DataFrame:
     return _rows(one, _check(2, "actas_by_election", F.col("same"), _fields("elections")))
 
 
-def check_presidential_votes(header: DataFrame, totals: DataFrame) -> DataFrame:
+def check_presidential_votes(header: DataFrame, totals: DataFrame,
+                             cube: DataFrame | None = None) -> DataFrame:
     """Emitted and valid presidential votes within 0.1 % of the official figures."""
     presidential = F.col("idEleccion") == c.ELECTION_PRESIDENT
     official = last_snapshot(totals).filter(presidential).agg(
@@ -236,9 +277,9 @@ def check_presidential_votes(header: DataFrame, totals: DataFrame) -> DataFrame:
         .alias("o")
     )
     one = (
-        header.filter(presidential & (F.col("codigoEstadoActa") == c.STATE_COUNTED))
-        .agg(total("totalVotosEmitidos").alias("emit_cur"),
-             total("totalVotosValidos").alias("val_cur"))
+        (header_cube(header) if cube is None else cube)
+        .filter(presidential & _counted())
+        .agg(total("emit").alias("emit_cur"), total("val").alias("val_cur"))
         .withColumn("o", official.scalar())
         .select(
             F.col("o.e").alias("emit_ofi"), F.col("o.v").alias("val_ofi"), "emit_cur", "val_cur"
@@ -254,17 +295,17 @@ def check_presidential_votes(header: DataFrame, totals: DataFrame) -> DataFrame:
     ))
 
 
-def check_regions(header: DataFrame, heat_map: DataFrame) -> DataFrame:
+def check_regions(header: DataFrame, heat_map: DataFrame,
+                  cube: DataFrame | None = None) -> DataFrame:
     """Counted presidential actas per department against the official heat map."""
     presidential = F.col("idEleccion") == c.ELECTION_PRESIDENT
     official = last_snapshot(heat_map).filter(presidential).select(
         F.col("ubigeoNivel01").alias("ub01"), F.col("actasContabilizadas").alias("ofi_c")
     )
     counted = (
-        header.filter(presidential & (F.col("codigoEstadoActa") == c.STATE_COUNTED))
-        .groupBy(F.substring("ubigeoDistrito", 1, 2).alias("dep"))
-        .agg(F.count(F.lit(1)).alias("cur_c"))
-        .select(place_number("dep").alias("ub01"), "cur_c")
+        (header_cube(header) if cube is None else cube)
+        .filter(presidential & _counted())
+        .groupBy(place_number("dep").alias("ub01")).agg(F.sum("n").alias("cur_c"))
     )
     matched = F.col("cur_c").isNotNull()
     one = official.join(counted, "ub01", "left").agg(
@@ -315,7 +356,8 @@ def require_enriched(header: DataFrame) -> DataFrame:
                            "enrich the header before level 3")
 
 
-def check_district_totals(header: DataFrame, district_totals: DataFrame) -> DataFrame:
+def check_district_totals(header: DataFrame, district_totals: DataFrame,
+                          cube: DataFrame | None = None) -> DataFrame:
     """Deputies: official actas per electoral district equal the curated ones."""
     deputies = F.col("idEleccion") == c.ELECTION_DEPUTIES
     official = last_record(
@@ -324,9 +366,8 @@ def check_district_totals(header: DataFrame, district_totals: DataFrame) -> Data
         ),
         ["idDistritoElectoral"],
     )
-    counted = header.filter(deputies).groupBy("idDistritoElectoral").agg(
-        F.count(F.lit(1)).alias("cur_total")
-    )
+    counted = (header_cube(header) if cube is None else cube).filter(deputies).groupBy(
+        "idDistritoElectoral").agg(F.sum("n").alias("cur_total"))
     one = official.join(counted, "idDistritoElectoral", "left").agg(
         F.count(F.lit(1)).alias("official"),
         F.count("cur_total").alias("matched"),
@@ -446,32 +487,31 @@ def report(header: DataFrame, votes: DataFrame, aggregates: Mapping[str, DataFra
     run only what needs none.
     """
     agg = aggregates or {}
-
-    def wanted(n: int) -> bool:
-        return level in (0, n)
+    # Small by construction (see header_cube) and read by up to six checks.
+    cube = header_cube(header).persist()
+    levels = [n for n in (1, 2, 3, 4) if level in (0, n)]
 
     parts: list[DataFrame] = []
-    if wanted(1):
-        parts += [check_universe(header), check_votes(votes, header), check_stations(header)]
-    header_levels = [n for n in (1, 3) if wanted(n)]
-    if header_levels:
-        parts.append(check_header(header, header_levels))
-    if wanted(2):
-        if "mesa_totales" in agg:
-            parts.append(check_station_universe(header, agg["mesa_totales"]))
+    if 1 in levels:
+        parts += [check_universe(header), check_votes(votes, header)]
+    if 1 in levels or (2 in levels and "mesa_totales" in agg):
+        parts.append(check_stations(header, agg.get("mesa_totales"), levels))
+    if 1 in levels or 3 in levels:
+        parts.append(check_header(header, levels, cube))
+    if 2 in levels:
         if "totales" in agg:
-            parts += [check_actas_by_election(header, agg["totales"]),
-                      check_presidential_votes(header, agg["totales"])]
+            parts += [check_actas_by_election(header, agg["totales"], cube),
+                      check_presidential_votes(header, agg["totales"], cube)]
         if "mapa_calor" in agg:
-            parts.append(check_regions(header, agg["mapa_calor"]))
+            parts.append(check_regions(header, agg["mapa_calor"], cube))
         if "participantes" in agg:
             parts.append(check_parties(votes, agg["participantes"]))
-    if wanted(3):
+    if 3 in levels:
         if "totales_de" in agg:
-            parts.append(check_district_totals(header, agg["totales_de"]))
+            parts.append(check_district_totals(header, agg["totales_de"], cube))
         if "participantes_de" in agg:
             parts.append(check_district_parties(votes, header, agg["participantes_de"]))
-    if wanted(4):
+    if 4 in levels:
         parts += [check_official_available(header, official),
                   check_reconciliation(votes, header, official)]
     return union_all(parts).withColumn(

@@ -21,20 +21,19 @@ def parse_documents(raw: DataFrame, body: str = "body") -> DataFrame:
     """Documents held as text next to the request columns.
 
     Text that does not parse gives nulls everywhere; ``parsed`` tells it apart from a
-    station that does not exist.
+    station that does not exist. The document is unpacked by a generator over a
+    one-element array: filters on its fields stay above it, so the text is parsed once
+    per row (over a plain projection each pushed-down filter would parse it again).
     """
-    doc = F.from_json(body, c.schema(c.DOCUMENT_DDL + ", _bad string"),
+    # A missing or blank answer is as unreadable as one that is not JSON.
+    text = F.coalesce(F.nullif(F.trim(body), F.lit("")), F.lit("no answer"))
+    doc = F.from_json(text, c.schema(c.DOCUMENT_DDL + ", _bad string"),
                       {"columnNameOfCorruptRecord": "_bad"})
     keep = [f.name for f in c.schema(REQUEST_DDL).fields]
     names = [f.name for f in c.schema(c.DOCUMENT_DDL).fields]
-    return (
-        raw.withColumn("_doc", doc)
-        .select(
-            *[F.col(f"_doc.{n}").alias(n) for n in names],
-            *keep,
-            (F.col("_doc").isNotNull() & F.col("_doc._bad").isNull()).alias("parsed"),
-            F.col(body).alias("body"),
-        )
+    return raw.select(*keep, F.col(body).alias("body"), F.inline(F.array(doc))).select(
+        *names, *keep,
+        F.col("_bad").isNull().alias("parsed"), "body",
     )
 
 
