@@ -26,7 +26,9 @@ def parse_documents(raw: DataFrame, body: str = "body") -> DataFrame:
     per row (over a plain projection each pushed-down filter would parse it again).
     """
     # A missing or blank answer is as unreadable as one that is not JSON.
+    # The text "null" is an answer: there is no such station.
     text = F.coalesce(F.nullif(F.trim(body), F.lit("")), F.lit("no answer"))
+    text = F.when(text == "null", F.lit("{}")).otherwise(text)
     doc = F.from_json(text, c.schema(c.DOCUMENT_DDL + ", _bad string"),
                       {"columnNameOfCorruptRecord": "_bad"})
     keep = [f.name for f in c.schema(REQUEST_DDL).fields]
