@@ -274,7 +274,7 @@ TITLE_PATTERNS = (
 def title_matches(title: Column | str) -> Column:
     hit = F.lit(False)
     for pattern in TITLE_PATTERNS:
-        hit = hit | _col(title).rlike("(?i)" + pattern)
+        hit = hit | _col(title).rlike("(?iu)" + pattern)
     return F.coalesce(hit, F.lit(False))
 
 

@@ -6,6 +6,8 @@ functions, so pages spread over tasks and nothing is parsed on the driver.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,15 +16,38 @@ from scrutiny.functions.scalars import _col
 # Java's \s plus the no-break space, which text stripping removes as well.
 _BLANK = r"[\s\u00a0]"
 
-_NAMED = (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'),
-          ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
+def _code_points() -> Column:
+    """Code points of the named character references, from the standard library."""
+    pairs = [F.lit(x) for name, code in name2codepoint.items() for x in (name, code)]
+    pairs += [F.lit("apos"), F.lit(39)]
+    return F.create_map(*pairs)
 
 
 def unescape(text: Column) -> Column:
-    """Common character references; the ampersand last, so nothing is decoded twice."""
-    for code, char in _NAMED:
-        text = F.replace(text, F.lit(code), F.lit(char))
-    return text
+    """Decode character references: named, decimal and hexadecimal.
+
+    The text is cut in front of every ampersand and each piece is decoded once, so what a
+    reference stands for is never decoded again. Unknown references stay as they are.
+    """
+    points = _code_points()
+
+    def piece(part: Column) -> Column:
+        name = F.regexp_extract(part, r"^&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z0-9]{2,8});", 1)
+        code = (
+            F.when(name == "", F.lit(None).cast("int"))
+            .when(F.lower(F.substring(name, 1, 2)) == "#x",
+                  F.conv(F.substring(name, 3, 6), 16, 10).cast("int"))
+            .when(F.substring(name, 1, 1) == "#", F.substring(name, 2, 7).cast("int"))
+            .otherwise(F.try_element_at(points, name))
+        )
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(
+            valid, F.concat(char, F.substring(part, F.length(name) + 3, F.length(part)))
+        ).otherwise(part)
+
+    decoded = F.array_join(F.transform(F.split(text, "(?=&)"), piece), "")
+    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
 
 def inner_text(html: Column | str) -> Column:

@@ -4,6 +4,7 @@ import json
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from scrutiny.plans import catalogue
 from scrutiny.sources import documents, pages
@@ -24,10 +25,19 @@ def page(spark, html=PAGE):
 def test_entries(spark):
     rows = pages.catalogue_entries(page(spark), BASE).orderBy("position").collect()
     assert [(r.position, r.title, r.url, r.raw_date) for r in rows] == [
-        (0, "EleccionesGenerales2026 & m&aacute;s", "https://d.org/dataset/uno", "2026-04-18"),
+        (0, "EleccionesGenerales2026 & más", "https://d.org/dataset/uno", "2026-04-18"),
         (3, "Padrón", "https://else.where/dos", "")]
 
 
+def test_character_references(spark):
+    import html
+
+    texts = ["a &amp;lt; b", "&#243;&#xF3;&oacute;", "&nope; & &;", "&#38;lt;", "&#128512;!", "plain", "&quot;x&apos;",
+             "x&nbsp;y", "&&amp;&"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in rows.select(pages.unescape(F.col("t"))).collect()] == [html.unescape(t) for t in texts]
+
+
 def test_downloads(spark):
     rows = pages.download_links(page(spark), BASE).orderBy("position").collect()
     assert [(r.name, r.url, r.format) for r in rows] == [

@@ -7,7 +7,6 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from scrutiny.harness.catalog import QUERIES
 from scrutiny.harness.fixtures import Tables
 from scrutiny.operators import filters, versions
 from scrutiny.plans import anomalies, curate, export, ingest
@@ -77,24 +76,38 @@ def test_documents_are_parsed_once(spark):
     assert plan(votes["actas_votos"]).count("from_json(") == 1
 
 
-#: Queries whose files are drifted on purpose have their footers read inside tasks.
-FOOTERS = {"drifted_facts", "migrated_facts"}
-STREAMS = {"ingest_stream", "curated_stream", "refresh_stream", "catalogue_stream",
-           "progress_15min_stream", "unique_snapshots_stream"}
-
-
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - FOOTERS - STREAMS))
-def test_no_cross_join_and_no_python(spark, name):
-    text = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
-    assert "CartesianProduct" not in text
-    assert "BroadcastNestedLoopJoin" not in text
-    assert "Python" not in text and "InPandas" not in text
-
-
-def test_windows_run_on_aggregated_rows_only(spark):
-    for name, query in QUERIES.items():
-        if name in FOOTERS | STREAMS:
-            continue
-        text = plan(query(spark, "/root/testdata/sf0.001"))
-        for position in (m.start() for m in re.finditer(r"\bWindow \[", text)):
-            assert "HashAggregate" in text[position:] or "SortAggregate" in text[position:], name
+def test_a_hot_key_is_split(spark, tmp_path, no_broadcast):
+    """One acta with a third of all rows: its partition is split, the result is whole."""
+    rows = spark.range(600_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000 + 1).alias("idActa"),
+        F.lit(7).cast("bigint").alias("run_ts_ms"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    path = str(tmp_path / "hot")
+    rows.repartition(16).write.parquet(path)
+    facts = spark.read.parquet(path)
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        kept = versions.keep_runs(facts, versions.latest_runs(facts))
+        assert len(kept.collect()) == 600_000
+        assert "skew=true" in plan(kept)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_last_record_and_winner_on_a_hot_key(spark):
+    rows = spark.range(90_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 97).alias("k"),
+        (F.col("id") % 1000).alias("snapshot_ts_ms"), F.col("id").alias("v"))
+    got = {r.k: (r.snapshot_ts_ms, r.v) for r in versions.last_record(rows, ["k"]).collect()}
+    brute: dict = {}
+    for i in range(90_000):
+        key = 0 if i % 3 == 0 else i % 97
+        brute[key] = max(brute.get(key, (-1, -1)), (i % 1000, i))
+    assert got == brute
