@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrutiny.functions.scalars import content_hash
@@ -60,20 +60,52 @@ def encodings(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def read_official_csv(spark: SparkSession, path: str) -> DataFrame:
-    """One official CSV: encoding found out, cells that do not parse become null."""
-    found = encodings(spark, [path]).select("encoding").distinct().collect()
-    names = {row["encoding"] for row in found} or {"UTF-8"}
-    encoding = "UTF-8" if names == {"UTF-8"} else "ISO-8859-1"
-    df = (
+def _inferred(head: DataFrame) -> dict[str, str]:
+    """Type of each text column that all its values allow; a column without any is text."""
+    tests = []
+    for i, name in enumerate(head.columns):
+        text = F.col(f"`{name}`")
+        fits = {
+            "bigint": text.try_cast("bigint").isNotNull(),
+            "double": text.try_cast("double").isNotNull(),
+            "boolean": F.lower(text).isin("true", "false"),
+        }
+        tests += [
+            F.coalesce(F.bool_and(F.when(text.isNotNull(), ok)), F.lit(False)).alias(f"{kind}_{i}")
+            for kind, ok in fits.items()
+        ]
+    row = head.agg(*tests).first()
+    return {
+        name: next((k for k in ("bigint", "double", "boolean") if row[f"{k}_{i}"]), "string")
+        for i, name in enumerate(head.columns)
+    }
+
+
+def read_official_csv(spark: SparkSession, path: str, infer_rows: int = 50_000) -> DataFrame:
+    """One official CSV: encoding found out, types inferred from its first rows.
+
+    Later cells that do not fit their column's type become null. The types come from a
+    bounded number of rows, so the data itself is read once.
+    """
+    utf8 = encodings(spark, [path]).agg(F.bool_and(F.col("encoding") == "UTF-8")).first()[0]
+    raw = (
         spark.read.option("header", True)
-        .option("inferSchema", True)
         .option("mode", "PERMISSIVE")
-        .option("encoding", encoding)
+        .option("encoding", "UTF-8" if utf8 in (True, None) else "ISO-8859-1")
         .csv(path)
     )
-    first = df.columns[0]
-    return df.withColumnRenamed(first, first.lstrip("\ufeff")) if first.startswith("\ufeff") else df
+    types = _inferred(raw.limit(infer_rows))
+
+    def typed(name: str, kind: str) -> Column:
+        text = F.col(f"`{name}`")
+        if kind == "boolean":
+            return F.when(F.lower(text) == "true", F.lit(True)).when(
+                F.lower(text) == "false", F.lit(False))
+        return text.try_cast(kind)
+
+    return raw.select(
+        *[typed(name, kind).alias(name.lstrip("\ufeff")) for name, kind in types.items()]
+    )
 
 
 def file_manifest(spark: SparkSession, base: str, with_hash: bool = True) -> DataFrame:

@@ -54,3 +54,11 @@ def test_official_csv_in_either_encoding(spark, tmp_path):
         df = read_official_csv(spark, str(path))
         assert df.columns == ["año", "votos"]
         assert [tuple(r) for r in df.collect()] == [("ñandú", 3), ("x", None)]
+
+
+def test_cells_that_do_not_fit_become_null(spark, tmp_path):
+    path = tmp_path / "late.csv"
+    path.write_text("n,x,b,t\n" + "1,1.5,true,a\n" * 5 + "oops,2,no,b\n", encoding="utf-8")
+    df = read_official_csv(spark, str(path), infer_rows=5)
+    assert [k for _, k in df.dtypes] == ["bigint", "double", "boolean", "string"]
+    assert tuple(df.filter("t = 'b'").first()) == (None, 2.0, None, "b")
