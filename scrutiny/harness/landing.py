@@ -531,7 +531,7 @@ def _(t):
     return t.spark.read.schema("metric string, key string, n bigint").json(path)
 
 
-@query("curated_pipeline", "B02 B03 B04 B06 B08 K4 K5", """
+@query("curated_build", "B02 B03 B04 B06 B08 K4 K5", """
 SELECT count(*) AS filas, count(DISTINCT v.idActa) AS actas, CAST(sum(nvotos) AS BIGINT) AS nvotos
 FROM {votos} v JOIN (SELECT idActa, max(run_ts_ms) AS m FROM {cab_facts} GROUP BY idActa) w
   ON v.idActa = w.idActa AND v.run_ts_ms = w.m
