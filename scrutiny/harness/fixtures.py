@@ -212,15 +212,15 @@ class Tables:
                 self._known[name] = self.spark.sql(_dialect(VIEWS[name], "spark"), **inputs)
         return self._known[name]
 
-    def stored(self, name: str) -> DataFrame:
-        """A view written once to the shared folder, as curated tables are in practice.
+    def stored(self, name: str, *columns: str) -> DataFrame:
+        """The given columns of a view, written once to the shared folder.
 
-        For jobs that read it several times; views made from it afterwards read the
-        stored table too.
+        For jobs that read it several times, as they read curated tables in practice.
+        Views made from it afterwards read the stored table too.
         """
         if name not in self._stored:
             path = scratch_path(self.spark, name)
-            self(name).write.option("compression", "zstd").parquet(path)
+            self(name).select(*columns).write.option("compression", "zstd").parquet(path)
             self._known[name] = self.spark.read.parquet(path)
             self._stored.add(name)
             if name == "cab":

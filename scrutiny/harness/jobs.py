@@ -428,12 +428,16 @@ def _(t):
                       dq.check_reconciliation(t("votos"), t("cab0"), official)])
 
 
+#: Header columns that both the checks and the anomaly rules read.
+_AUDITED = ("idActa", "idEleccion", "codigoEstadoActa", "ubigeoDistrito", "idDistritoElectoral",
+            "idAmbitoGeografico", "totalVotosEmitidos", "totalVotosValidos", "totalElectoresHabiles")
+
 _ALL_CHECKS = [_D11, _D12, _D13, _D15, _D14, _D31, _D32, _D21, _D22, _D23, _D24, _D25, _D33,
                _D34, _D41, _D42]
 
 
 def _report(t):
-    header = t.stored("cab")
+    header = t.stored("cab", *_AUDITED, "codigoMesa")
     return dq.report(header, t("votos"), {
         "mesa_totales": t("of_mesas"), "totales": t("of_totales"), "mapa_calor": t("of_mapa"),
         "participantes": t("of_partidos"), "totales_de": t("of_totales_de"),
@@ -618,7 +622,8 @@ _ALL_FINDINGS = " UNION ALL ".join([_N1, _N2, _N3, _N4, _N5, _N6, _N7])
 
 
 def _findings(t, **kwargs):
-    return anomalies.run_all(t.stored("cab"), t("votos"), t("padron"), **kwargs)
+    header = t.stored("cab", *_AUDITED, "totalAsistentes", "porcentajeParticipacionCiudadana")
+    return anomalies.run_all(header, t("votos"), t("padron"), **kwargs)
 
 
 @query("anomalies_all", "N8 N1 N2 N3 N4 N5 N6 N7 U2 P13 O1", _ALL_FINDINGS)
