@@ -62,7 +62,7 @@ def at_least_severity(df: DataFrame, minimum: str) -> DataFrame:
 
 def drop_run_columns(df: DataFrame) -> DataFrame:
     """Without the partition columns; absent ones are no error."""
-    return df.drop("snapshot_date", "run_ts_ms")
+    return df.drop("snapshot_date", "run_ts_ms", "batch_id")
 
 
 def drop_legacy(df: DataFrame) -> DataFrame:

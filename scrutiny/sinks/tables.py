@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from scrutiny.functions.scalars import lima_date
 from scrutiny.operators.contract_checks import coerce_null_columns, contract_violations
 from scrutiny.operators.unions import union_all
-from scrutiny.sources.tables import file_schemas, read_relaxed
+from scrutiny.sources.tables import file_schemas, partition_keys, read_relaxed
 
 
 def _fs(spark: SparkSession, path: str):
@@ -176,27 +176,35 @@ def migrate_null_types(spark: SparkSession, base: str, table: str | None = None,
         "path",
         "columns_json",
         F.regexp_replace("path", r"/[^/]*$", "").alias("folder"),
+        partition_keys("path", base).alias("keys"),
         F.col("columns_json").contains('"null"]').alias("needs"),
     )
-    counts = schemas.agg(F.count(F.lit(1)).alias("files"), F.count_if("needs").alias("needing"))
-    files, needing = counts.first()
+    files, needing = schemas.agg(F.count(F.lit(1)), F.count_if("needs")).first()
     migrated = 0
     if needing and not dry_run:
         folders = schemas.filter("needs").select("folder").distinct()
         touched = schemas.join(folders, "folder", "left_semi")
-        staging = f"{base.rstrip('/')}.staging-{uuid.uuid4().hex[:8]}"
-        parts = ["snapshot_date", "run_ts_ms"]
-        read_relaxed(spark, base, table, touched).write.partitionBy(*parts).option(
-            "compression", "zstd").parquet(staging)
-        (
-            spark.read.option("mergeSchema", True).parquet(staging)
-            .withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*parts).option("compression", "zstd").parquet(base)
-        )
-        fs, staged = _fs(spark, staging)
-        fs.delete(staged, True)
+        # Folders of one depth are one job: usually there is a single one.
+        for (keys,) in touched.select("keys").distinct().collect():
+            if not keys:
+                raise ValueError(f"files directly under {base}: only run folders are migrated")
+            part = touched.filter(F.col("keys") == F.array(*[F.lit(k) for k in keys]))
+            _rewrite_folders(spark, base, table, part, list(keys))
         migrated = needing
     return spark.createDataFrame(
         [(files, needing, migrated)], "files bigint, needing bigint, migrated bigint"
     )
+
+
+def _rewrite_folders(spark: SparkSession, base: str, table: str | None, files: DataFrame,
+                     keys: list[str]) -> None:
+    """Rewrite whole leaf folders through staging."""
+    staging = f"{base.rstrip('/')}.staging-{uuid.uuid4().hex[:8]}"
+    fixed = read_relaxed(spark, base, table, files.select("path", "columns_json"))
+    fixed.write.partitionBy(*keys).option("compression", "zstd").parquet(staging)
+    staged = spark.read.schema(fixed.schema).parquet(staging)
+    (
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*keys).option("compression", "zstd").parquet(base)
+    )
+    delete_path(spark, staging)

@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,6 +91,13 @@ def file_schemas(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def partition_keys(path: str, base: str) -> Column:
+    """Names of the ``name=value`` folders of a path below the base, outermost first."""
+    name = base.rstrip("/").rsplit("/", 1)[-1]
+    below = F.substring_index(path, f"/{name}/", -1)
+    return F.regexp_extract_all(below, F.lit(r"([^/=]+)=[^/]*/"), 1)
+
+
 def read_relaxed(spark: SparkSession, base: str, table: str | None = None,
                  schemas: DataFrame | None = None) -> DataFrame:
     """Versioned facts whose files drifted apart over time.
@@ -103,7 +110,7 @@ def read_relaxed(spark: SparkSession, base: str, table: str | None = None,
     """
     groups = (
         (file_schemas(spark, base) if schemas is None else schemas)
-        .groupBy("columns_json")
+        .groupBy("columns_json", partition_keys("path", base).alias("keys"))
         .agg(F.collect_list("path").alias("paths"))
         .collect()
     )
@@ -116,7 +123,8 @@ def read_relaxed(spark: SparkSession, base: str, table: str | None = None,
         # A column without any value has no usable physical type: leave it out of the
         # scan; the union fills it with nulls of the right type.
         fields = [f"`{n}` {_SPARK_TYPES[t]}" for n, t in columns if t != "null"]
-        schema = ", ".join([*fields, RUN_PARTITIONS])
+        more = [f"{k} bigint" for k in group["keys"] if k not in ("snapshot_date", "run_ts_ms")]
+        schema = ", ".join([*fields, RUN_PARTITIONS, *more])
         part = (
             spark.read.schema(schema)
             .option("basePath", base)

@@ -114,6 +114,23 @@ def test_drifted_files_are_read_together_and_migrated(spark, lake):
     assert rows() == before
 
 
+def test_migration_leaves_other_batches_of_the_run_alone(spark, lake):
+    import os
+
+    for batch, values in ((0, pa.nulls(2)), (1, pa.array([7, 8]))):
+        folder = f"{lake}/snapshot_date=2026-04-18/run_ts_ms=1/batch_id={batch}"
+        os.makedirs(folder)
+        pq.write_table(pa.table({"idActa": [batch, batch], "nvotos": values}), f"{folder}/a.parquet")
+    done = sinks.migrate_null_types(spark, lake, "actas_votos", dry_run=False).first()
+    assert tuple(done) == (2, 1, 1)
+    rows = sources.read_facts(spark, lake, "actas_votos").collect()
+    assert sorted((r.idActa, r.nvotos or 0, r.run_ts_ms, r.snapshot_date) for r in rows) == [
+        (0, 0, 1, "2026-04-18")] * 2 + [(1, 7, 1, "2026-04-18"), (1, 8, 1, "2026-04-18")]
+    both = sources.read_relaxed(spark, lake, "actas_votos")
+    assert sorted({r.batch_id for r in both.collect()}) == [0, 1]
+    assert "batch_id" not in curate.curate_header(both).columns
+
+
 def test_drift_stops_the_run_before_anything_is_written(spark, lake):
     good = conform(spark.range(1).select(F.col("id").alias("idActa")), "actas_archivos")
     bad = conform(spark.range(1).select(F.col("id").alias("idActa")), "actas_votos").drop("nvotos")
