@@ -46,3 +46,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return count_tokens(
         table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), limit=512)
+
+
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals and verdict of all documents, by models fitted on a sample of the labels."""
+    from scrutiny.llm import quality_rules
+
+    docs = table(spark, sf_dir, "documents")
+    model = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, model)
