@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scrutiny.llm.common import table
 from scrutiny.session import scratch_path
@@ -56,3 +57,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
     return quality_rules.judge(docs, model)
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents after lines that many documents share are gone."""
+    from scrutiny.llm.line_dedup import dedup_lines
+
+    kept = dedup_lines(table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
+    return kept.select("doc_id", "n_lines", "n_dropped",
+                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
