@@ -67,3 +67,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
     return kept.select("doc_id", "n_lines", "n_dropped",
                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of four-word shingles and their components at four differing bits."""
+    from scrutiny.llm import simhash
+
+    rows = simhash.group(table(spark, sf_dir, "documents"), size=4, budget=4, seed=42)
+    return rows.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
