@@ -76,3 +76,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = simhash.group(table(spark, sf_dir, "documents"), size=4, budget=4, seed=42)
     return rows.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
+
+
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and the edit distance."""
+    from scrutiny.llm.decontaminate import find
+
+    return find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
