@@ -84,3 +84,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from scrutiny.llm.decontaminate import find
 
     return find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens, neighbours together."""
+    from scrutiny.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), window=2048,
+                end_id=1)
