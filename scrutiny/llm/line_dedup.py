@@ -29,6 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scrutiny.llm.common import stored, text_slices
 from scrutiny.llm.cuckoo import CuckooFilter, filter_of
@@ -123,11 +124,13 @@ def dropped_keys(rows: DataFrame, refs: DataFrame, filters: DataFrame, shards: i
             .groupBy("doc_id").agg(F.collect_set("key").alias("dropped")))
 
 
-def rewrite(docs: DataFrame, drops: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """All columns of ``docs`` with the shortened text, and ``n_lines, n_dropped`` beside it."""
-    text, extra = "text", ["n_lines", "n_dropped"]
-    names = [c for c in docs.columns if c != text]
-    inner = (docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"))
+def rewrite(docs: DataFrame, drops: DataFrame, min_chars: int = MIN_CHARS,
+            counts: bool = True) -> DataFrame:
+    """All columns of ``docs`` with the shortened text; with ``counts`` also ``n_lines`` and
+    ``n_dropped``, which replace columns of these names."""
+    own = {"n_lines", "n_dropped"} if counts else set()
+    names = [c for c in docs.columns if c not in own]
+    inner = (docs.select(F.struct(*names).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"))
              .join(drops, "doc_id", "left").select("row.text", "dropped", "row"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,22 +148,26 @@ def rewrite(docs: DataFrame, drops: DataFrame, min_chars: int = MIN_CHARS) -> Da
                 texts.append(t)
             row = batch.column("row")
             parts = dict(zip([f.name for f in row.type], row.flatten()))
-            yield pa.RecordBatch.from_arrays(
-                [*(parts[c] for c in names), pa.array(texts, pa.binary()).cast(pa.string()),
-                 pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())],
-                [*names, "text", *extra])
+            parts["text"] = pa.array(texts, pa.binary()).cast(pa.string())
+            if counts:
+                parts |= {"n_lines": pa.array(n_lines, pa.int64()),
+                          "n_dropped": pa.array(n_dropped, pa.int64())}
+            yield pa.RecordBatch.from_arrays(list(parts.values()), list(parts))
 
-    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names]
-    return inner.mapInArrow(rows, ", ".join([*kinds, "text string", "n_lines bigint", "n_dropped bigint"]))
+    schema = T.StructType([docs.schema[c] for c in names])
+    for c in ("n_lines", "n_dropped") if counts else ():
+        schema = schema.add(c, T.LongType())
+    return inner.mapInArrow(rows, schema)
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
+                counts: bool = True) -> DataFrame:
     """All documents without their repeated lines, in one go. See the head of this module."""
     rows = stored(postings(docs, min_chars), "line-postings")
     refs = stored(references(rows, min_docs), "line-references")
     shards = max(1, -(-refs.count() // SHARD_KEYS))
     drops = dropped_keys(rows, refs, build_filters(refs, shards), shards, rows.count())
-    return rewrite(docs, drops, min_chars)
+    return rewrite(docs, drops, min_chars, counts)
 
 
 class LineIndex:

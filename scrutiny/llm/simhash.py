@@ -112,20 +112,19 @@ def hex_digits(fp: str = "fp"):
 SEEDS = (42, 1, 2, 3)
 
 
-def sketched(docs: DataFrame, size: int, seeds: tuple[int, ...] = SEEDS) -> DataFrame:
-    """``doc_id, words_key, fps, shingles``: digest of the word sequence, a fingerprint of the
-    distinct words for each seed, and the sorted distinct hashes of the shingles."""
+def sketched(docs: DataFrame, seeds: tuple[int, ...] = SEEDS) -> DataFrame:
+    """``doc_id, words_key, fps``: a digest of the word sequence, and for each seed a
+    fingerprint of the distinct words. No shuffle."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
         for batch in text_slices(batches, "text", 1 << 20):
-            keys, shingles, each = [], [], []
+            keys, each = [], []
             number: dict[bytes, int] = {}
             for t in batch.column("text").cast(pa.binary()).to_pylist():
                 words = words_of(t or b"")
                 keys.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
-                shingles.append(np.unique(np.array(shingle_hashes(words, size, 0), np.uint64).view(np.int64)))
                 each.append([number.setdefault(w, len(number)) for w in set(words)])
             counts = np.fromiter(map(len, each), np.int64, len(each))
             flat = np.fromiter((i for x in each for i in x), np.int64, int(counts.sum()))
@@ -135,49 +134,64 @@ def sketched(docs: DataFrame, size: int, seeds: tuple[int, ...] = SEEDS) -> Data
                 fps.append(majority(hashes[flat], counts).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(keys, pa.binary()),
-                 pa.array(list(np.stack(fps, 1)), pa.list_(pa.int64())),
-                 pa.array(shingles, pa.list_(pa.int64()))],
-                ["doc_id", "words_key", "fps", "shingles"])
+                 pa.array(list(np.stack(fps, 1)), pa.list_(pa.int64()))],
+                ["doc_id", "words_key", "fps"])
 
+    return _named(docs).mapInArrow(rows, "doc_id bigint, words_key binary, fps array<bigint>")
+
+
+def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
+    """``doc_id, shingles``: the distinct hashes of a text's word shingles. No shuffle."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "text", 1 << 20):
+            sets = [np.unique(np.array(shingle_hashes(words_of(t or b""), size, 0), np.uint64))
+                    .view(np.int64) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))],
+                ["doc_id", "shingles"])
+
+    return _named(docs).mapInArrow(rows, "doc_id bigint, shingles array<bigint>")
+
+
+def _named(docs: DataFrame) -> DataFrame:
     return (docs.where("doc_id is not null")
-            .select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-            .mapInArrow(rows, "doc_id bigint, words_key binary, fps array<bigint>, shingles array<bigint>"))
+            .select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, least: float = 0.8, budget: int = 4) -> DataFrame:
     """``doc_id, component_id`` of documents that have a near or exact copy with another id.
 
     The similarity is that of the sets of word shingles. Only ties of the trie join are
-    compared (each text with its nearest in every bucket, and with one of its group).
+    compared (each text with its nearest in every bucket, and with one of its group), and only
+    their texts are cut into shingles. Rows that share an identifier are one document, similar
+    to another if any of its texts is.
     """
-    rows = stored(sketched(docs, size), "sketches")
+    rows = stored(sketched(docs), "sketches")
     copies = rows.groupBy("words_key").agg(F.min("doc_id").alias("node"))
-    owned = stored(rows.select("doc_id", "words_key").join(copies, "words_key")
-                   .select("doc_id", "node"), "copies")
-    own = rows.join(owned.where("doc_id = node").select("node").distinct(),
-                    F.col("doc_id") == F.col("node"), "left_semi")
-    texts = stored(own.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "fps", "shingles"),
-                   "distinct-texts")
+    owned = stored(rows.join(copies, "words_key").select("doc_id", "node", "fps"), "copies")
+    texts = owned.where("doc_id = node").select("node", "fps").distinct()
     candidates = None
     for k in range(len(SEEDS)):
         each = texts.select("node", F.col("fps")[k].alias("fp"))
-        first = each.groupBy("fp").agg(F.min("node").alias("first"))
-        same = (each.join(first, "fp").where("node <> first")
+        first = stored(each.groupBy("fp").agg(F.min("node").alias("node")), "fingerprint-nodes")
+        same = (each.join(first.withColumnRenamed("node", "first"), "fp").where("node <> first")
                 .select(F.col("first").alias("a"), F.col("node").alias("b")))
-        linked = links(first.select("fp", F.col("first").alias("node")), budget).select("a", "b")
-        both = same.unionByName(linked)
+        both = same.unionByName(links(first, budget).select("a", "b"))
         candidates = both if candidates is None else candidates.unionByName(both)
     pairs = stored(candidates.distinct(), "candidates")
-    found = verified(pairs, texts, least)
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sets = stored(shingle_sets(docs.join(asked, "doc_id", "left_semi"), size), "shingles")
+    found = verified(pairs, sets, least)
     whole = found.unionByName(owned.where("doc_id <> node").select(
         F.col("node").alias("a"), F.col("doc_id").alias("b")))
     return components(whole).withColumnsRenamed({"node": "doc_id", "component": "component_id"})
 
 
-def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The pairs whose shingle sets have at least that Jaccard similarity."""
-    a = texts.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    b = texts.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
+    a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left"))
+    b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right"))
     shared = F.size(F.array_intersect("left", "right"))
     return (pairs.join(a, "a").join(b, "b")
             .where(F.least(F.size("left"), F.size("right"))
