@@ -93,3 +93,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), window=2048,
                 end_id=1)
+
+
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents after 100-byte strings that occur earlier are gone."""
+    from scrutiny.llm.suffix_dedup import dedup_substrings
+
+    return dedup_substrings(table(spark, sf_dir, "documents"), with_text=False)
