@@ -101,3 +101,12 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from scrutiny.llm.suffix_dedup import dedup_substrings
 
     return dedup_substrings(table(spark, sf_dir, "documents"), with_text=False)
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from the rows that are not held out."""
+    from scrutiny.llm import language_id
+
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs))
