@@ -110,3 +110,15 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return language_id.predict(docs, language_id.fit(docs))
+
+
+@query
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as windows, written, and what is read back from them."""
+    from scrutiny.llm import chat_format
+    from scrutiny.llm.common import stored
+
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    windows = chat_format.format_windows(
+        turns.unionByName(chat_format.probe(spark)), tokenizer("byte_bpe_50k.json"), budget=1024)
+    return chat_format.read_digests(stored(windows, "chat-windows"))
