@@ -29,7 +29,7 @@ ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 FIRST = "\x1f"  # marks the key of a unit that no white space precedes
 UNIT_CHARS = 64  # longer units are not remembered
-REMEMBERED = 1_200_000  # units; the memory starts anew when it is full
+REMEMBERED = 900_000  # units; the memory starts anew when it is full
 
 
 class Numbers(dict):
@@ -177,9 +177,14 @@ def summed(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def gathered(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The slices ``pool[start:start+size]`` in a row."""
+    return pool[slots(starts, sizes)]
+
+
+def slots(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers ``start .. start+size-1`` of each slice in a row."""
     ends = np.cumsum(sizes)
     total = int(ends[-1]) if len(ends) else 0
-    return pool[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(total)
 
 
 def splits_at_spaces(path: str) -> bool:

@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scrutiny.llm.common import stored, text_slices, texts_of
-from scrutiny.llm.encoding import encoder, gathered
-from scrutiny.llm.token_output import list_array, list_values, run_crcs, with_end
+from scrutiny.llm.encoding import encoder, slots
+from scrutiny.llm.token_output import list_array, run_crcs, with_end
 
-SHARD_DOCS = 512
+SHARD_DOCS = 256
 SHARD_TOKENS = 2 << 20
 K1, B = 1.2, 0.75
 #: Neighbours looked at for one that fits the rest of a window whole.
@@ -40,8 +40,9 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1,
          with_ids: bool = False) -> DataFrame:
     """A row for each piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
     offset`` and, if asked for, the piece's ``ids``. ``window`` is a power of two."""
-    encoded = stored(_encoded(docs, tokenizer, end_id), "packing-ids", compression="zstd")
-    found = encoded.mapInArrow(_presence, "id int, n bigint, tokens bigint").groupBy("id").agg(
+    width = id_width(tokenizer)
+    encoded = stored(_encoded(docs, tokenizer, end_id, width), "packing-ids", compression="zstd")
+    found = encoded.mapInArrow(_presence(width), "id int, n bigint, tokens bigint").groupBy("id").agg(
         F.sum("n").alias("n"), F.sum("tokens").alias("tokens")).collect()  # a row for each id
     size = max([r["id"] for r in found], default=0) + 1
     df = np.zeros(size, np.int64)
@@ -56,15 +57,14 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1,
 
     def telling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat, sizes = list_values(batch.column("ids"))
-            first, second = top_terms(flat, sizes, idf)
+            first, second = top_terms(*blobs(batch.column("ids"), width), idf)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(first), pa.array(second)],
                 ["doc_id", "ids", "first", "second"])
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(window, TaskContext.get().partitionId() << 40, with_ids)
-        for doc_ids, arrays in shards(batches):
+        for doc_ids, arrays in shards(batches, width):
             packer.take(doc_ids, arrays, Index(arrays, idf, mean))
             yield packer.batch()
         packer.close()
@@ -72,70 +72,94 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1,
 
     schema = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
               "sequence_id bigint, offset bigint" + ", ids array<int>" * with_ids)
-    return (encoded.mapInArrow(telling, "doc_id bigint, ids array<int>, first int, second int")
+    return (encoded.mapInArrow(telling, "doc_id bigint, ids binary, first int, second int")
             .repartitionByRange("first", "second", "doc_id")
             .sortWithinPartitions("first", "second", "doc_id")
             .select("doc_id", "ids").mapInArrow(fill, schema))
 
 
-def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+def id_width(tokenizer: str) -> str:
+    """Ids travel as bytes, two for each where the vocabulary allows it."""
+    return "<u2" if encoder(tokenizer).tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+
+
+def blobs(column: pa.Array, width: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a column of byte strings in a row, and how many each row has."""
+    n = len(column)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + n + 1]
+    step = int(width[2])
+    flat = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]].view(width)
+    return flat, np.diff(offsets).astype(np.int64) // step
+
+
+def _encoded(docs: DataFrame, tokenizer: str, end_id: int, width: str) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", 2 << 20):
             flat, sizes = with_end(*enc.ids(texts_of(batch)), end_id)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), list_array(flat, sizes)], ["doc_id", "ids"])
+            offsets = np.concatenate([[0], np.cumsum(sizes)]) * int(width[2])
+            ids = pa.BinaryArray.from_buffers(
+                pa.binary(), len(sizes),
+                [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(flat.astype(width))])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
 
     return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-            .mapInArrow(rows, "doc_id bigint, ids array<int>"))
+            .mapInArrow(rows, "doc_id bigint, ids binary"))
 
 
 def term_counts(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document number, id and count of each distinct id of each document, in that order."""
     doc = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
-    code = np.sort((doc << 32) | flat)
+    code = np.sort((doc << 32) | flat.astype(np.int64))
     first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.array([], int)
     times = np.diff(np.append(first, len(code)))
     return code[first] >> 32, code[first] & 0xFFFFFFFF, times
 
 
-def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _presence(width: str):
     """How many documents hold each id; totals under id -1."""
-    held = np.zeros(0, np.int64)
-    n_docs = n_tokens = 0
-    for batch in batches:
-        flat, sizes = list_values(batch.column("ids"))
-        n = np.bincount(term_counts(flat, sizes)[1])
-        if len(n) > len(held):
-            held = np.concatenate([held, np.zeros(len(n) - len(held), np.int64)])
-        held[:len(n)] += n
-        n_docs, n_tokens = n_docs + len(sizes), n_tokens + len(flat)
-    ids = np.flatnonzero(held)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.append(ids, -1).astype(np.int32)), pa.array(np.append(held[ids], n_docs)),
-         pa.array(np.append(np.zeros(len(ids), np.int64), n_tokens))], ["id", "n", "tokens"])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(0, np.int64)
+        n_docs = n_tokens = 0
+        for batch in batches:
+            flat, sizes = blobs(batch.column("ids"), width)
+            n = np.bincount(term_counts(flat, sizes)[1])
+            if len(n) > len(held):
+                held = np.concatenate([held, np.zeros(len(n) - len(held), np.int64)])
+            held[:len(n)] += n
+            n_docs, n_tokens = n_docs + len(sizes), n_tokens + len(flat)
+        ids = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(ids, -1).astype(np.int32)), pa.array(np.append(held[ids], n_docs)),
+             pa.array(np.append(np.zeros(len(ids), np.int64), n_tokens))], ["id", "n", "tokens"])
+
+    return rows
 
 
 def top_terms(flat: np.ndarray, sizes: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The two ids of each document with the highest tf-idf (-1: there is none)."""
     doc, term, times = term_counts(flat, sizes)
     out = np.full((2, len(sizes)), -1, np.int32)
-    order = np.lexsort((term, -(times * idf[term]), doc))
-    doc, term = doc[order], term[order]
-    first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.array([], int)
-    out[0, doc[first]] = term[first]
-    more = first + 1
-    more = more[(more < len(doc))]
-    more = more[doc[more] == doc[more - 1]]
-    out[1, doc[more]] = term[more]
+    if not len(doc):
+        return out[0], out[1]
+    start = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+    n = np.diff(np.append(start, len(doc)))
+    value = times * idf[term]
+    for k in range(2):
+        best = np.repeat(np.maximum.reduceat(value, start), n)
+        at = np.flatnonzero((value == best) & (value > 0))
+        own, first = np.unique(doc[at], return_index=True)
+        out[k, own] = term[at[first]]
+        value[at[first]] = 0
     return out[0], out[1]
 
 
-def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
+def shards(batches: Iterator[pa.RecordBatch], width: str) -> Iterator[tuple[list, list[np.ndarray]]]:
     """Consecutive documents, bounded by number and by tokens."""
     keys, arrays, tokens = [], [], 0
     for batch in batches:
-        flat, sizes = list_values(batch.column("ids"))
+        flat, sizes = blobs(batch.column("ids"), width)
         ends = np.cumsum(sizes)
         for key, a, b in zip(batch.column("doc_id").to_pylist(), (ends - sizes).tolist(), ends.tolist()):
             if keys and (len(keys) >= SHARD_DOCS or tokens + b - a > SHARD_TOKENS):
@@ -167,7 +191,8 @@ class Index:
         """BM25 of every document of the shard for the terms of the seed."""
         own = self.own[self.cuts[seed]:self.cuts[seed + 1]]
         at, n = self.starts[own], self.starts[own + 1] - self.starts[own]
-        return np.bincount(gathered(self.docs, at, n), gathered(self.weights, at, n), self.n)
+        entries = slots(at, n)
+        return np.bincount(self.docs[entries], self.weights[entries], self.n)
 
 
 class Packer:
