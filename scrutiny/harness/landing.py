@@ -418,33 +418,67 @@ def _(t):
 
 
 @query("typed_csv", "S4 K6", """
-SELECT Residencia, CodPais, UBIGEO_RENIEC, Sexo, Edad, Cantidad FROM {padron_base}""")
+SELECT * FROM {padron_base}""")
 def _(t):
     path = scratch_path(t.spark, "roll")
     sinks.write_csv(t("padron_base"), path, "gzip")
-    return files.read_roll(t.spark, path).select(
-        "Residencia", "CodPais", "UBIGEO_RENIEC", "Sexo", "Edad", "Cantidad")
+    return files.read_roll(t.spark, path)
 
 
 @query("official_csv_to_table", "S5 B14 K4 K7", """
-SELECT doc_id AS id, lang AS idioma, source AS fuente, 'ñandú' AS palabra FROM {documents}""")
+SELECT doc_id, text, lang, source, n_chars, 'ñandú' AS palabra FROM {documents}""")
 def _(t):
-    rows = t("documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("idioma"),
-                                 F.col("source").alias("fuente"), F.lit("ñandú").alias("palabra"))
+    rows = t("documents").withColumn("palabra", F.lit("ñandú"))
     landed = scratch_path(t.spark, "official")
-    rows.write.option("header", True).option("encoding", "ISO-8859-1").csv(landed)
+    rows.write.options(**files.CSV_FORMAT, encoding="ISO-8859-1", emptyValue='""').csv(landed)
     out = landed + ".parquet"
-    sinks.verified_write(files.read_official_csv(t.spark, landed).withColumn(
-        "id", F.col("id").cast("bigint")), out)
+    sinks.verified_write(files.read_official_csv(t.spark, landed), out)
     return tables.read_table(t.spark, out)
 
 
+@query("official_resources", "B14", """
+SELECT 'customer' AS resource, count(*) AS rows FROM {customer}
+UNION ALL SELECT 'documents', count(*) FROM {documents}
+UNION ALL SELECT 'mesas', count(*) FROM {mesas}""")
+def _(t):
+    landed, names = scratch_path(t.spark, "resources"), ("customer", "documents", "mesas")
+    for name in names:
+        sinks.write_csv(t(name), f"{landed}/{name}.csv")
+    return sinks.land_official(t.spark, [f"{landed}/{n}.csv" for n in names], f"{landed}-tables")
+
+
+@query("csv_round_trip", "S4 K6 E6", """
+SELECT doc_id, text, lang, source, n_chars FROM {documents}""")
+def _(t):
+    path = scratch_path(t.spark, "documents")
+    sinks.write_csv(t("documents"), path, "gzip")
+    return files.read_csv_typed(t.spark, path, {"doc_id": "bigint", "n_chars": "bigint"})
+
+
 @query("csv_export", "K6 E6", """
-SELECT idMesa, codigoMesa, nombreDistrito FROM {mesas}""")
+SELECT * FROM {mesas}""")
 def _(t):
     path = scratch_path(t.spark, "csv")
-    sinks.write_csv(t("mesas").select("idMesa", "codigoMesa", "nombreDistrito"), path)
-    return files.read_csv_typed(t.spark, path, {"idMesa": "bigint"})
+    rows = t("mesas")
+    sinks.write_csv(rows, path)
+    return files.read_csv_typed(t.spark, path, dict(rows.dtypes))
+
+
+@query("csv_export_header", "E6 K6", """
+SELECT * FROM {cab}""")
+def _(t):
+    path = scratch_path(t.spark, "csv-header")
+    rows = t("cab")
+    sinks.write_csv(rows, path)
+    return files.read_csv_typed(t.spark, path, dict(rows.dtypes))
+
+
+@query("csv_export_resolutions", "E6 K6", _RESOLUTIONS)
+def _(t):
+    path = scratch_path(t.spark, "csv-resolutions")
+    rows = _resolutions(t)
+    sinks.write_csv(rows, path, "gzip")
+    return files.read_csv_typed(t.spark, path, dict(rows.dtypes))
 
 
 @query("snapshot_series", "K2 S2 F4", """

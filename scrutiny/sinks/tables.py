@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from scrutiny.functions.scalars import lima_date
 from scrutiny.operators.contract_checks import coerce_null_columns, contract_violations
 from scrutiny.operators.unions import union_all
+from scrutiny.sources.files import CSV_FORMAT, read_official_csv
 from scrutiny.sources.tables import file_schemas, partition_keys, read_relaxed
 
 
@@ -114,11 +116,14 @@ def replace_table(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str, compression: str = "none") -> int:
-    """CSV with a header, plain or gzip; the files' total size in bytes."""
+    """CSV with a header, plain or gzip; the files' total size in bytes.
+
+    Quotes are doubled and blanks kept; an empty text is written as ``""``, null as nothing.
+    """
     (
-        df.write.mode("overwrite").option("header", True)
+        df.write.mode("overwrite").options(**CSV_FORMAT)
         .option("compression", "gzip" if compression == "gzip" else "none")
-        .option("emptyValue", "").csv(path)
+        .option("emptyValue", '""').csv(path)
     )
     fs, hadoop = _fs(df.sparkSession, path)
     return int(fs.getContentSummary(hadoop).getLength())
@@ -135,6 +140,20 @@ def verified_write(df: DataFrame, path: str) -> int:
     return actual
 
 
+def land_official(spark: SparkSession, paths: Sequence[str], target: str) -> DataFrame:
+    """Each official CSV to a table of its own under ``target``: ``resource, rows``.
+
+    A resource is a file or a folder of files. There are a few dozen of them, each read,
+    typed and written by Spark with its row count checked.
+    """
+    written = []
+    for path in paths:
+        name = re.sub(r"(\.csv)?(\.gz)?$", "", path.rstrip("/").rsplit("/", 1)[-1])
+        rows = verified_write(read_official_csv(spark, path), f"{target}/{name}.parquet")
+        written.append((name, rows))
+    return spark.createDataFrame(written, "resource string, rows bigint")
+
+
 def grouped_summary(df: DataFrame, keys: Sequence[str], **constants: object) -> DataFrame:
     """Long summary (``metric, key, n``): the total and counts per value of each key.
 

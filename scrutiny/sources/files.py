@@ -3,25 +3,61 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrutiny.functions.scalars import content_hash
 
-# Columns of the two voter-roll files. Padded codes stay text.
-ROLL_BASE_DDL = (
-    "Residencia string, Cod_continente string, Continente string, CodPais string, "
-    "Pais string, UBIGEO_RENIEC string, UBIGEO_INEI string, Departamento string, "
-    "Provincia string, Distrito string, TipoDNI string, Sexo string, Edad bigint, "
-    "Cantidad bigint"
-)
-ROLL_VALIDITY_DDL = (
-    "Residencia string, Cod_continente string, Continente string, CodPais string, "
-    "Pais string, UBIGEO_RENIEC string, UBIGEO_INEI string, Departamento string, "
-    "Provincia string, Distrito string, Sexo string, Edad bigint, Caducado string, "
-    "Cantidad bigint"
-)
+#: RFC 4180: quotes are doubled inside quotes, blanks belong to the value.
+CSV_FORMAT = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE",
+              "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+#: Stands for a missing value while a row is parsed, so that a quoted empty text stays one.
+NO_VALUE = "\u0000"
+
+
+def csv_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """One row per file: ``path``, ``encoding``, ``multi_line``, ``header`` (its first line).
+
+    Found out from the content, in one pass over all lines that splits large files. A file
+    is UTF-8 if all its lines are, else Latin-1; it has records over several lines if a
+    line holds an odd number of quotes.
+    """
+    lines = spark.read.text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("path"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
+    return lines.groupBy("path").agg(
+        F.when(F.bool_and(F.is_valid_utf8("value")), "UTF-8").otherwise("ISO-8859-1").alias("encoding"),
+        F.bool_or(quotes % 2 == 1).alias("multi_line"),
+        F.min_by("value", "at").alias("header"))
+
+
+def encodings(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """One row per file: its path and encoding."""
+    return csv_files(spark, paths).select("path", "encoding")
+
+
+def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
+    """CSV files by header name, every column text, nothing trimmed or lost.
+
+    Files are read in groups of the same encoding, layout and header (a handful), so that
+    files of one folder may differ in all three; columns that a file lacks are null.
+    """
+    groups = csv_files(spark, [path]).groupBy("encoding", "multi_line", F.hex("header")).agg(
+        F.collect_list("path").alias("paths")).collect()
+    frames = []
+    for group in sorted(groups, key=lambda g: min(g["paths"])):
+        frame = spark.read.options(**CSV_FORMAT, encoding=group["encoding"],
+                                   multiLine=str(group["multi_line"]).lower(),
+                                   nullValue=NO_VALUE).csv(group["paths"])
+        frames.append(frame.toDF(*[n.lstrip("\ufeff") for n in frame.columns]))
+    if not frames:
+        raise FileNotFoundError(f"no CSV lines under {path}")
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
 
 
 def read_csv_typed(spark: SparkSession, path: str, types: dict[str, str] | None = None
@@ -31,7 +67,7 @@ def read_csv_typed(spark: SparkSession, path: str, types: dict[str, str] | None
     Text first and a strict cast after, so that the order of columns in the file does
     not matter and padded codes are never read as numbers.
     """
-    raw = spark.read.option("header", True).csv(path)
+    raw = read_csv_text(spark, path)
     return raw.select(
         *[F.col(f"`{n}`").cast((types or {}).get(n, "string")).alias(n) for n in raw.columns]
     )
@@ -42,28 +78,10 @@ def read_roll(spark: SparkSession, path: str) -> DataFrame:
     return read_csv_typed(spark, path, {"Edad": "bigint", "Cantidad": "bigint"})
 
 
-def encodings(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """One row per file: ``utf-8`` if every line is valid UTF-8, else ``ISO-8859-1``.
-
-    Lines keep their raw bytes here, so files are split and checked in parallel.
-    """
-    return (
-        spark.read.text(list(paths))
-        .select(F.input_file_name().alias("path"), F.is_valid_utf8("value").alias("valid"))
-        .groupBy("path")
-        .agg(F.bool_and("valid").alias("all_valid"))
-        .select(
-            "path",
-            F.when(F.col("all_valid"), F.lit("UTF-8")).otherwise(F.lit("ISO-8859-1"))
-            .alias("encoding"),
-        )
-    )
-
-
-def _inferred(head: DataFrame) -> dict[str, str]:
+def _inferred(rows: DataFrame) -> dict[str, str]:
     """Type of each text column that all its values allow; a column without any is text."""
     tests = []
-    for i, name in enumerate(head.columns):
+    for i, name in enumerate(rows.columns):
         text = F.col(f"`{name}`")
         fits = {
             "bigint": text.try_cast("bigint").isNotNull(),
@@ -74,38 +92,30 @@ def _inferred(head: DataFrame) -> dict[str, str]:
             F.coalesce(F.bool_and(F.when(text.isNotNull(), ok)), F.lit(False)).alias(f"{kind}_{i}")
             for kind, ok in fits.items()
         ]
-    row = head.agg(*tests).first()
+    row = rows.agg(*tests).first()
     return {
         name: next((k for k in ("bigint", "double", "boolean") if row[f"{k}_{i}"]), "string")
-        for i, name in enumerate(head.columns)
+        for i, name in enumerate(rows.columns)
     }
 
 
-def read_official_csv(spark: SparkSession, path: str, infer_rows: int = 50_000) -> DataFrame:
-    """One official CSV: encoding found out, types inferred from its first rows.
+def read_official_csv(spark: SparkSession, path: str, types: dict[str, str] | None = None
+                      ) -> DataFrame:
+    """Official CSV: encoding and layout found out per file, types from all rows.
 
-    Later cells that do not fit their column's type become null. The types come from a
-    bounded number of rows, so the data itself is read once.
+    A column gets the narrowest type that every one of its values fits, so no value is
+    lost. ``types`` spares the pass that finds them; a value that does not fit a type given
+    there is an error.
     """
-    utf8 = encodings(spark, [path]).agg(F.bool_and(F.col("encoding") == "UTF-8")).first()[0]
-    raw = (
-        spark.read.option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("encoding", "UTF-8" if utf8 in (True, None) else "ISO-8859-1")
-        .csv(path)
-    )
-    types = _inferred(raw.limit(infer_rows))
+    if types is not None:
+        return read_csv_typed(spark, path, types)
+    raw = read_csv_text(spark, path)
 
     def typed(name: str, kind: str) -> Column:
         text = F.col(f"`{name}`")
-        if kind == "boolean":
-            return F.when(F.lower(text) == "true", F.lit(True)).when(
-                F.lower(text) == "false", F.lit(False))
-        return text.try_cast(kind)
+        return F.lower(text) == "true" if kind == "boolean" else text.cast(kind)
 
-    return raw.select(
-        *[typed(name, kind).alias(name.lstrip("\ufeff")) for name, kind in types.items()]
-    )
+    return raw.select(*[typed(name, kind).alias(name) for name, kind in _inferred(raw).items()])
 
 
 def file_manifest(spark: SparkSession, base: str, with_hash: bool = True) -> DataFrame:

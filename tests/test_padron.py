@@ -3,7 +3,8 @@ from __future__ import annotations
 import pytest
 
 from scrutiny.plans import padron
-from scrutiny.sources.files import read_official_csv, read_roll
+from scrutiny.sinks.tables import write_csv
+from scrutiny.sources.files import read_csv_typed, read_official_csv, read_roll
 
 BASE = """Residencia,Cod_continente,Continente,CodPais,Pais,UBIGEO_RENIEC,UBIGEO_INEI,Departamento,Provincia,Distrito,TipoDNI,Sexo,Edad,Cantidad
 Nacional,1,AMERICA,9233,PERU,140101,150101,LIMA,LIMA,LIMA,DNI electrónico,Hombre,18,2
@@ -56,9 +57,25 @@ def test_official_csv_in_either_encoding(spark, tmp_path):
         assert [tuple(r) for r in df.collect()] == [("ñandú", 3), ("x", None)]
 
 
-def test_cells_that_do_not_fit_become_null(spark, tmp_path):
+def test_late_values_of_another_type_are_kept(spark, tmp_path):
     path = tmp_path / "late.csv"
-    path.write_text("n,x,b,t\n" + "1,1.5,true,a\n" * 5 + "oops,2,no,b\n", encoding="utf-8")
-    df = read_official_csv(spark, str(path), infer_rows=5)
-    assert [k for _, k in df.dtypes] == ["bigint", "double", "boolean", "string"]
-    assert tuple(df.filter("t = 'b'").first()) == (None, 2.0, None, "b")
+    path.write_text("n,x,b,t\n" + "1,1.5,true,a\n" * 60_000 + "A0,2,no,b\n", encoding="utf-8")
+    df = read_official_csv(spark, str(path))
+    assert [k for _, k in df.dtypes] == ["string", "double", "string", "string"]
+    assert tuple(df.filter("t = 'b'").first()) == ("A0", 2.0, "no", "b")
+
+
+def test_files_of_a_folder_may_differ(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("id,texto\n1,ñandú\n".encode("latin-1"))
+    (tmp_path / "b.csv").write_bytes("texto,id\nñu,2\n".encode())
+    (tmp_path / "c.csv").write_bytes('id,texto\n3,"dos\nlíneas, ""así"""\n4, \n5,"  x "\n'.encode())
+    rows = {r.id: r.texto for r in read_official_csv(spark, str(tmp_path)).collect()}
+    assert rows == {1: "ñandú", 2: "ñu", 3: 'dos\nlíneas, "así"', 4: " ", 5: "  x "}
+
+
+def test_csv_comes_back_as_written(spark, lake):
+    rows = [(1, ""), (2, None), (3, " "), (4, 'say "hi", ok'), (5, "a\nb\n"), (6, "\\"), (7, '\\"'),
+            (8, "  x  "), (9, '"'), (10, ",")]
+    write_csv(spark.createDataFrame(rows, "id bigint, t string"), lake)
+    back = read_csv_typed(spark, lake, {"id": "bigint"})
+    assert sorted(map(tuple, back.collect())) == rows
