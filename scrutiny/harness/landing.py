@@ -509,10 +509,14 @@ def _drifted(t) -> str:
     base = scratch_path(t.spark, "drifted")
     votes = t("votos").select("idActa", "ccodigo", "nposicion", "nvotos", "idEleccion")
     runs = [
-        (1, votes.filter("nposicion <= 2").withColumn("cargo", F.lit(None))),
+        (1, votes.filter("nposicion <= 2").withColumn("cargo", F.lit(None))
+         .withColumn("nposicion", F.col("nposicion").cast("smallint"))
+         .withColumn("importe", F.col("nvotos").cast("decimal(12,2)"))),
         (2, votes.filter("nposicion BETWEEN 3 AND 4").withColumn(
             "nvotos", F.col("nvotos").cast("string")).drop("idEleccion")),
-        (3, votes.filter("nposicion >= 5").withColumn("cargo", F.lit("X"))),
+        (3, votes.filter("nposicion >= 5").withColumn("cargo", F.lit("X"))
+         .withColumn("leido", F.timestamp_seconds("idActa"))
+         .withColumn("importe", F.col("nvotos").cast("decimal(9,4)"))),
     ]
     for run, df in runs:
         df.write.parquet(f"{base}/snapshot_date=2026-04-1{run}/run_ts_ms={run}")
@@ -522,13 +526,19 @@ def _drifted(t) -> str:
 _DRIFTED = """SELECT CASE WHEN nposicion <= 2 THEN 1 WHEN nposicion <= 4 THEN 2 ELSE 3 END::BIGINT
   AS run_ts_ms, count(*) AS n, CAST(sum(nvotos) AS BIGINT) AS nvotos,
   count(CASE WHEN nposicion BETWEEN 3 AND 4 THEN NULL ELSE idEleccion END) AS con_eleccion,
-  count(CASE WHEN nposicion >= 5 THEN 1 END) AS con_cargo FROM {votos} GROUP BY 1"""
+  count(CASE WHEN nposicion >= 5 THEN 1 END) AS con_cargo,
+  CAST(sum(nposicion) AS BIGINT) AS posiciones,
+  max(CASE WHEN nposicion >= 5 THEN idActa END) AS leido,
+  CAST(sum(CASE WHEN nposicion <= 2 OR nposicion >= 5 THEN nvotos END) AS BIGINT) AS importe
+  FROM {votos} GROUP BY 1"""
 
 
 def _drift_summary(df):
     return df.groupBy("run_ts_ms").agg(
         F.count(F.lit(1)).alias("n"), F.sum("nvotos").alias("nvotos"),
-        F.count("idEleccion").alias("con_eleccion"), F.count("cargo").alias("con_cargo"))
+        F.count("idEleccion").alias("con_eleccion"), F.count("cargo").alias("con_cargo"),
+        F.sum("nposicion").alias("posiciones"), F.unix_seconds(F.max("leido")).alias("leido"),
+        F.sum("importe").cast("bigint").alias("importe"))
 
 
 @query("drifted_facts", "S1 U2 P6", _DRIFTED)

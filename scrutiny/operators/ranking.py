@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 
 def winners(totals: DataFrame, keys: Sequence[str], votes: str, tie_break: str) -> DataFrame:
-    """Row with most votes per key; equal votes go to the smaller tie-break value.
+    """Row with most votes per key; equal votes go to the smaller tie-break value, and rows
+    equal in that too to the one whose other columns come first.
 
     Written as an aggregate (combined map-side), not as a sorted window.
     """
     rest = [name for name in totals.columns if name not in keys]
-    order = F.struct((-F.col(votes)).alias("neg"), F.col(tie_break).alias("tie"))
+    order = F.struct((-F.col(votes)).alias("neg"), F.col(tie_break).alias("tie"),
+                     *[F.col(name).alias(f"rest_{name}") for name in rest])
     return (
         totals.groupBy(*keys)
         .agg(F.min_by(F.struct(*rest), order).alias("row"))

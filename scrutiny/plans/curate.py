@@ -12,7 +12,7 @@ from scrutiny.functions.scalars import electoral_district
 from scrutiny.operators.filters import drop_legacy, drop_run_columns, in_scopes
 from scrutiny.operators.versions import first_per_key, keep_runs, latest_runs
 from scrutiny.session import scratch_path
-from scrutiny.sinks.tables import replace_table, write_table
+from scrutiny.sinks.tables import delete_path, replace_table, write_table
 from scrutiny.sources.tables import read_facts, read_relaxed, table_exists
 
 CHILD_TABLES = ("actas_votos", "actas_linea_tiempo", "actas_archivos", "actas_candidatos")
@@ -156,12 +156,15 @@ def station_universe(listing: DataFrame, venues: DataFrame, districts: DataFrame
 
 
 def build_curated(spark: SparkSession, facts: str, curated: str,
-                  stations: DataFrame | None = None, relaxed: bool = False) -> Mapping[str, str]:
+                  stations: DataFrame | None = None, relaxed: bool = True) -> Mapping[str, str]:
     """The whole curation: header and children, enrichment, tidy votes.
 
     The winners (one row per acta) are written once to the shared folder and read by
     every child table, so the header facts are reduced a single time and a lost
-    executor costs no recomputation of them.
+    executor costs no recomputation of them. They are deleted at the end.
+
+    ``relaxed`` keeps columns beyond the contract and reads files whose types drifted apart;
+    without it only the contract's columns are scanned, for facts known to meet it.
     """
     def facts_of(table: str) -> DataFrame:
         base = f"{facts}/{table}"
@@ -189,4 +192,5 @@ def build_curated(spark: SparkSession, facts: str, curated: str,
                        spark.read.parquet(out["actas_cabecera"])),
             out["actas_votos_tidy"],
         )
+    delete_path(spark, winners_path)
     return out

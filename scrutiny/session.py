@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,13 +32,17 @@ def build(master: str | None = None, **settings: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, a laptop) a temporary folder is made and
-    remembered in the session, so that later calls agree on it.
+    Only in local mode (tests, a laptop), where it may be unset, a temporary folder is made
+    and remembered in the session, so that later calls agree on it. On a cluster each
+    machine would write to a disk of its own, so there an unset folder is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.conf.get("spark.scrutiny.workdir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "local[*]")
+        if not re.match(r"local(\[[^\]]*\])?$", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all of {master} shares")
         folder = tempfile.mkdtemp(prefix="scrutiny-")
         spark.conf.set("spark.scrutiny.workdir", folder)
     return folder.rstrip("/")

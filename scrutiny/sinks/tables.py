@@ -58,12 +58,13 @@ def append_snapshot(df: DataFrame, base: str, table: str, ts: str = "snapshot_ts
 
 
 def write_run(tables: Mapping[str, DataFrame], base: str, run_ts_ms: int,
-              batch_id: int | None = None) -> list[str]:
-    """Write the fact tables of one run under ``snapshot_date/run_ts_ms``.
+              batch_id: int = 0) -> list[str]:
+    """Write the fact tables of one run (or of one batch of it) under
+    ``snapshot_date/run_ts_ms/batch_id``.
 
     All contracts are checked before anything is written, so a drifted table stops
-    the whole run. With a ``batch_id`` the files go to a partition of their own that is
-    overwritten when the batch is replayed: a retry never doubles rows.
+    the whole run. Each batch has a partition of its own that is overwritten when the batch
+    is written again: a retry never doubles rows.
     """
     ready = {}
     for name, df in tables.items():
@@ -72,20 +73,16 @@ def write_run(tables: Mapping[str, DataFrame], base: str, run_ts_ms: int,
         ready[name] = df
     written = []
     for name, df in ready.items():
-        out = df.withColumns({
-            "snapshot_date": lima_date(F.lit(run_ts_ms)),
-            "run_ts_ms": F.lit(run_ts_ms).cast("bigint"),
-        })
-        parts = ["snapshot_date", "run_ts_ms"]
-        writer = out
-        if batch_id is not None:
-            writer = out.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            parts.append("batch_id")
         path = f"{base.rstrip('/')}/{name}"
         (
-            writer.write.mode("overwrite" if batch_id is not None else "append")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*parts).option("compression", "zstd").parquet(path)
+            df.withColumns({
+                "snapshot_date": lima_date(F.lit(run_ts_ms)),
+                "run_ts_ms": F.lit(run_ts_ms).cast("bigint"),
+                "batch_id": F.lit(batch_id).cast("bigint"),
+            })
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("snapshot_date", "run_ts_ms", "batch_id")
+            .option("compression", "zstd").parquet(path)
         )
         written.append(path)
     return written
@@ -196,7 +193,7 @@ def migrate_null_types(spark: SparkSession, base: str, table: str | None = None,
         "columns_json",
         F.regexp_replace("path", r"/[^/]*$", "").alias("folder"),
         partition_keys("path", base).alias("keys"),
-        F.col("columns_json").contains('"null"]').alias("needs"),
+        F.col("columns_json").contains('"void"]').alias("needs"),
     )
     files, needing = schemas.agg(F.count(F.lit(1)), F.count_if("needs")).first()
     migrated = 0

@@ -60,35 +60,54 @@ def list_files(spark: SparkSession, base: str, pattern: str = "*.parquet") -> Da
     )
 
 
-_SPARK_TYPES = {
-    "int64": "bigint", "int32": "int", "int16": "smallint", "int8": "tinyint",
-    "double": "double", "float": "float", "bool": "boolean", "string": "string",
-    "large_string": "string", "string_view": "string", "null": "void", "date32[day]": "date",
-}
-
-
-def _footer_schemas(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Column names and types of each file, read from its footer inside the task."""
-    import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
-
-    for batch in batches:
-        rows = []
-        for path in batch["path"]:
-            filesystem, inner = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-            with filesystem.open_input_file(inner) as handle:
-                schema = pq.ParquetFile(handle).schema_arrow
-            rows.append(json.dumps([[field.name, str(field.type)] for field in schema]))
-        yield pd.DataFrame({"path": batch["path"], "columns_json": rows})
+#: Parquet types whose Spark type has another name than the Arrow library's.
+_UNSIGNED = {"uint8": "smallint", "uint16": "int", "uint32": "bigint", "uint64": "decimal(20,0)"}
+_NANOS = "timestamp[ns"
+
+
+def _footers():
+    """The footer reader; made here so that it travels to the executors by value."""
+
+    def spark_type(kind, physical: str | None) -> str:
+        from pyspark.sql.pandas.types import from_arrow_type
+
+        text = str(kind)
+        if text == "null":
+            return "void"
+        if physical == "INT96":  # Spark's own timestamps
+            return "timestamp"
+        if text.startswith(nanos):
+            return "nanos_utc" if "tz=" in text else "nanos"
+        if text in unsigned:
+            return unsigned[text]
+        return from_arrow_type(kind, prefer_timestamp_ntz=True).simpleString()
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                filesystem, inner = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+                with filesystem.open_input_file(inner) as handle:
+                    file = pq.ParquetFile(handle)
+                    stored = (file.schema.column(i) for i in range(len(file.schema)))
+                    physical = {column.path: column.physical_type for column in stored}
+                    schema = file.schema_arrow
+                rows.append(json.dumps(
+                    [[field.name, spark_type(field.type, physical.get(field.name))] for field in schema]))
+            yield pd.DataFrame({"path": batch["path"], "columns_json": rows})
+
+    unsigned, nanos = dict(_UNSIGNED), str(_NANOS)
+    return read
 
 
 def file_schemas(spark: SparkSession, base: str) -> DataFrame:
-    """One row per file: ``path`` and its columns as JSON ``[[name, type], …]``."""
+    """One row per file: ``path`` and its columns as JSON ``[[name, Spark type], …]``."""
     files = list_files(spark, base).select("path")
     tasks = max(1, -(-files.count() // _FOOTERS_PER_TASK))
-    return files.repartition(tasks).mapInPandas(
-        _footer_schemas, "path string, columns_json string"
-    )
+    return files.repartition(tasks).mapInPandas(_footers(), "path string, columns_json string")
 
 
 def partition_keys(path: str, base: str) -> Column:
@@ -102,18 +121,24 @@ def read_relaxed(spark: SparkSession, base: str, table: str | None = None,
                  schemas: DataFrame | None = None) -> DataFrame:
     """Versioned facts whose files drifted apart over time.
 
-    Columns are matched by name, missing ones are null. Spark cannot read files
+    Columns are matched by name, missing ones are null; columns beyond the contract stay. Spark cannot read files
     together whose types differ, so files are grouped by their exact schema (a handful
     of groups, whatever the number of files), each group is one scan, and the groups are
     cast to the contract (or, without one, to a common type) and put together.
     ``schemas`` narrows the read to some of the files of ``file_schemas``.
     """
-    groups = (
-        (file_schemas(spark, base) if schemas is None else schemas)
-        .groupBy("columns_json", partition_keys("path", base).alias("keys"))
-        .agg(F.collect_list("path").alias("paths"))
-        .collect()
-    )
+    files = (file_schemas(spark, base) if schemas is None else schemas).withColumn(
+        "folder", F.regexp_replace("path", r"/[^/]*$", ""))
+    # A folder whose files agree is named as a whole, so the driver learns folders, not files.
+    folders = files.groupBy("folder", partition_keys("path", base).alias("keys")).agg(
+        F.collect_set("columns_json").alias("kinds"),
+        F.collect_list(F.struct("columns_json", "path")).alias("files"))
+    places = folders.select("keys", F.explode(F.when(
+        F.size("kinds") == 1, F.array(F.struct(F.col("kinds")[0].alias("columns_json"),
+                                               F.col("folder").alias("path")))
+    ).otherwise(F.col("files"))).alias("p"))
+    groups = (places.groupBy("p.columns_json", "keys")
+              .agg(F.collect_list("p.path").alias("paths")).collect())
     if not groups:
         raise FileNotFoundError(f"no Parquet files under {base}")
     wanted = {f.name: f.dataType for f in c.fact_schema(table)} if table else {}
@@ -122,7 +147,10 @@ def read_relaxed(spark: SparkSession, base: str, table: str | None = None,
         columns = json.loads(group["columns_json"])
         # A column without any value has no usable physical type: leave it out of the
         # scan; the union fills it with nulls of the right type.
-        fields = [f"`{n}` {_SPARK_TYPES[t]}" for n, t in columns if t != "null"]
+        nanos = {n: t for n, t in columns if t.startswith("nanos")}
+        if nanos:  # Spark reads them as whole numbers, and only under this setting
+            spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+        fields = [f"`{n}` {'bigint' if n in nanos else t}" for n, t in columns if t != "void"]
         more = [f"{k} bigint" for k in group["keys"] if k not in ("snapshot_date", "run_ts_ms")]
         schema = ", ".join([*fields, RUN_PARTITIONS, *more])
         part = (
@@ -130,7 +158,12 @@ def read_relaxed(spark: SparkSession, base: str, table: str | None = None,
             .option("basePath", base)
             .parquet(*group["paths"])
         )
-        empty = [n for n, t in columns if t == "null"]
+        for n, t in nanos.items():
+            at = F.timestamp_micros(F.expr(f"(`{n}` - pmod(`{n}`, 1000)) div 1000"))
+            # Local times count from the epoch in UTC, whatever the session's time zone.
+            local = F.convert_timezone(F.current_timezone(), F.lit("UTC"), at.cast("timestamp_ntz"))
+            part = part.withColumn(n, at if t == "nanos_utc" else local)
+        empty = [n for n, t in columns if t == "void"]
         part = part.select(
             *[
                 F.col(n).cast(wanted[n]).alias(n) if n in wanted else F.col(f"`{n}`")
@@ -139,4 +172,6 @@ def read_relaxed(spark: SparkSession, base: str, table: str | None = None,
             *[F.lit(None).cast(wanted.get(n, T.NullType())).alias(n) for n in empty],
         )
         frames.append(part)
-    return union_relaxed(frames)
+    out = union_relaxed(frames)
+    return out.withColumns({
+        n: F.lit(None).cast(kind) for n, kind in wanted.items() if n not in out.columns})

@@ -170,3 +170,62 @@ def test_station_universe(spark):
     assert curate.trigger_venues(venues).filter("ubigeoDistrito = '140101'").first().codigoLocalGatillo == "1"
     assert curate.station_universe(listing, venues, districts).count() == 2
     assert curate.station_universe(listing, venues, districts, [1]).count() == 1
+
+
+def test_relaxed_reads_every_parquet_type(spark, lake):
+    import datetime
+    import os
+
+
+    at = datetime.datetime(2026, 4, 12, 8, 30, 15, 123456)
+    kinds = {
+        "i8": (pa.int8(), 1), "u16": (pa.uint16(), 65535), "u32": (pa.uint32(), 2 ** 32 - 1),
+        "f": (pa.float32(), 0.5), "dec": (pa.decimal128(12, 3), 7), "day": (pa.date32(), at.date()),
+        "ns": (pa.timestamp("ns"), at), "us": (pa.timestamp("us"), at), "raw": (pa.binary(), b"x"),
+        "list": (pa.list_(pa.int32()), [1, 2]), "st": (pa.struct([("a", pa.int64())]), {"a": 3}),
+    }
+    os.makedirs(f"{lake}/snapshot_date=2026-04-12/run_ts_ms=1")
+    pq.write_table(pa.table({n: pa.array([v], k) for n, (k, v) in kinds.items()}),
+                   f"{lake}/snapshot_date=2026-04-12/run_ts_ms=1/a.parquet")
+    row = sources.read_relaxed(spark, lake).first().asDict(recursive=True)
+    assert row["run_ts_ms"] == 1 and bytes(row.pop("raw")) == b"x"
+    assert {n: row[n] for n in row if n in kinds} == {n: v for n, (_, v) in kinds.items() if n != "raw"}
+
+
+def test_curation_keeps_columns_beyond_the_contract(spark, lake):
+
+    facts = spark.range(3).select(
+        F.col("id").alias("idActa"), F.lit(1).alias("nuevo"), F.lit("C").alias("codigoEstadoActa"))
+    facts.write.parquet(f"{lake}/facts/actas_cabecera/snapshot_date=2026-04-12/run_ts_ms=1")
+    spark.range(3).select(F.col("id").alias("idActa"), F.lit(5).alias("nvotos"), F.lit("x").alias("otro")
+                          ).write.parquet(f"{lake}/facts/actas_votos/snapshot_date=2026-04-12/run_ts_ms=1")
+    out = curate.build_curated(spark, f"{lake}/facts", f"{lake}/curated")
+    assert "nuevo" in spark.read.parquet(out["actas_cabecera"]).columns
+    assert "otro" in spark.read.parquet(out["actas_votos"]).columns
+
+
+def test_widening():
+    from pyspark.sql import types as T
+
+    from scrutiny.operators.unions import supertype
+
+    def wide(*names):
+        return supertype([T._parse_datatype_string(n) for n in names]).simpleString()
+
+    assert wide("smallint", "bigint") == "bigint" and wide("tinyint", "smallint") == "smallint"
+    assert wide("int", "float") == "double" and wide("float", "double") == "double"
+    assert wide("date", "timestamp") == "timestamp" and wide("decimal(5,2)", "int") == "decimal(12,2)"
+    assert wide("array<int>", "array<bigint>") == "array<bigint>" and wide("void", "date") == "date"
+    assert wide("string", "bigint") == "string" and wide("decimal(9,4)", "double") == "double"
+
+
+def test_no_local_scratch_on_a_cluster(monkeypatch):
+    from scrutiny import session
+
+    class Conf:
+        @staticmethod
+        def get(key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(type("S", (), {"conf": Conf}))
