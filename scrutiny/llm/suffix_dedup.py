@@ -44,10 +44,12 @@ from scrutiny.llm.encoding import gathered
 
 CHUNK_BYTES = 4 << 20
 CHUNKS = "chunk bigint, doc_ids array<bigint>, sizes array<bigint>, blob binary"
-SUFFIXES = ("lead binary, body binary, before int, chunk bigint, row int, doc_id bigint, "
-            "place bigint, low bigint, high bigint")
+#: ``spot`` packs a row of the chunk and a place in its text (see ``packed``). Rows that hold a
+#: cut instead of a suffix have its end in ``doc_id`` and an even spread of bytes as suffix.
+SUFFIXES = "suffix binary, before binary, chunk bigint, spot bigint, doc_id bigint, cut boolean"
 CUTS = "chunk bigint, row int, low bigint, high bigint"
 LEFT = WIDTH - 1  # most bytes left of an anchor that a string can have
+PLACE = (1 << 40) - 1
 
 
 def chunked(docs: DataFrame) -> DataFrame:
@@ -56,7 +58,7 @@ def chunked(docs: DataFrame) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        press = zstandard.ZstdCompressor(level=3)
+        press = zstandard.ZstdCompressor(level=9)
         number = TaskContext.get().partitionId() << 32
         for batch in regrouped(batches):
             order = batch.column("doc_id").to_pandas().argsort(kind="stable").to_numpy()
@@ -159,8 +161,9 @@ def whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray,
 def suffixes(chunks: DataFrame, repeated: DataFrame) -> DataFrame:
     """Suffixes at anchors with a repeated hash, one for all equal ones of a chunk.
 
-    ``body`` runs from the first string of the anchor to the end of its last one. The other
-    equal ones of the chunk are known to go; their rows have no body and stand for a cut.
+    ``suffix`` runs from the anchor to the end of its last string, ``before`` from the start of
+    its first string to the anchor. The other equal ones of the chunk are known to go, and
+    travel on as cuts, overlapping ones put together.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,34 +181,45 @@ def suffixes(chunks: DataFrame, repeated: DataFrame) -> DataFrame:
                 if body not in seen:
                     seen.add(body)
                     new[i] = True
-            yield from suffix_batches(chunk, at, first, last, row, new)
+            yield from suffix_batches(chunk, at[new], first[new], last[new] + SPAN, row[new])
+            yield cut_rows(chunk, *joined(first[~new], last[~new] + SPAN, row[~new]))
 
     return chunks.join(repeated, "chunk").mapInArrow(rows, SUFFIXES)
 
 
-def suffix_batches(chunk: Chunk, at, first, last, row, new) -> Iterator[pa.RecordBatch]:
-    base = chunk.starts[row]
+def packed(row: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return (row.astype(np.int64) << 40) | place
+
+
+def joined(low: np.ndarray, high: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Stretches in ascending order, those put together that overlap or touch."""
+    if not len(low):
+        return low, high, row
+    new = np.concatenate([[True], (low[1:] > np.maximum.accumulate(high)[:-1]) | (row[1:] != row[:-1])])
+    start = np.flatnonzero(new)
+    return low[start], np.maximum.reduceat(high, start), row[start]
+
+
+def suffix_batches(chunk: Chunk, at, low, high, row) -> Iterator[pa.RecordBatch]:
     ids = np.array([-1 if d is None else d for d in chunk.doc_ids], np.int64)
     for cut in range(0, len(at), 20_000):
-        s = slice(cut, cut + 20_000)
-        some, n = at[s], len(at[s])
-        lead = np.where(new[s][:, None], chunk.raw[some[:, None] + np.arange(GRAM)],
-                        spread(some, chunk.number))
-        length = np.where(new[s], last[s] + SPAN - first[s], 0)
-        body = gathered(chunk.raw, first[s], length)
+        a, lo, hi, r = (x[cut:cut + 20_000] for x in (at, low, high, row))
         yield pa.RecordBatch.from_arrays(
-            [binary(lead.astype(np.uint8).reshape(-1), np.full(n, GRAM)), binary(body, length),
-             pa.array((some - first[s]).astype(np.int32)), pa.array(np.full(n, chunk.number)),
-             pa.array(row[s].astype(np.int32)), pa.array(ids[row[s]]), pa.array(some - base[s]),
-             pa.array(first[s] - base[s]), pa.array(last[s] + SPAN - base[s])],
-            ["lead", "body", "before", "chunk", "row", "doc_id", "place", "low", "high"])
+            [binary(gathered(chunk.raw, a, hi - a), hi - a), binary(gathered(chunk.raw, lo, a - lo), a - lo),
+             pa.array(np.full(len(a), chunk.number)), pa.array(packed(r, a - chunk.starts[r])),
+             pa.array(ids[r]), pa.array(np.zeros(len(a), bool))],
+            ["suffix", "before", "chunk", "spot", "doc_id", "cut"])
 
 
-def spread(at: np.ndarray, number: int) -> np.ndarray:
-    """Leading bytes for rows without a body that deal them out evenly."""
+def cut_rows(chunk: Chunk, low, high, row) -> pa.RecordBatch:
+    n, base = len(low), chunk.starts[row]
     with np.errstate(over="ignore"):
-        mixed = (at.astype(np.uint64) + np.uint64(number)) * np.uint64(0x9E3779B97F4A7C15)
-    return np.tile(mixed.view(np.uint8).reshape(-1, 8), (1, GRAM // 8))
+        mixed = (low.astype(np.uint64) + np.uint64(chunk.number)) * np.uint64(0x9E3779B97F4A7C15)
+    return pa.RecordBatch.from_arrays(
+        [binary(mixed.view(np.uint8), np.full(n, 8)), binary(np.zeros(0, np.uint8), np.zeros(n, np.int64)),
+         pa.array(np.full(n, chunk.number)), pa.array(packed(row, low - base)),
+         pa.array(high - base), pa.array(np.ones(n, bool))],
+        ["suffix", "before", "chunk", "spot", "doc_id", "cut"])
 
 
 def binary(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -243,13 +257,16 @@ def cuts(rows: DataFrame) -> DataFrame:
 
     def bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in whole_leads(batches):
-            sized = pc.binary_length(batch.column("body")).to_numpy(False)
-            known = batch.filter(pa.array(sized == 0))
-            yield known.select(["chunk", "row", "low", "high"])
-            yield from compared(batch.filter(pa.array(sized > 0)))
+            known = batch.column("cut").to_numpy(zero_copy_only=False)
+            cut = batch.filter(pa.array(known))
+            spot = cut.column("spot").to_numpy()
+            yield cut_batch(cut.column("chunk").to_numpy(), spot, spot & PLACE,
+                            cut.column("doc_id").to_numpy())
+            yield from compared(batch.filter(pa.array(~known)))
 
-    return (rows.repartitionByRange(partitions(rows.sparkSession), "lead")
-            .sortWithinPartitions("lead").mapInArrow(bucket, CUTS))
+    lead = F.substring("suffix", 1, GRAM)
+    return (rows.repartitionByRange(partitions(rows.sparkSession), lead)
+            .sortWithinPartitions(lead).mapInArrow(bucket, CUTS))
 
 
 def whole_leads(batches: Iterator[pa.RecordBatch], least: int = 100_000) -> Iterator[pa.RecordBatch]:
@@ -260,9 +277,9 @@ def whole_leads(batches: Iterator[pa.RecordBatch], least: int = 100_000) -> Iter
         size += batch.num_rows
         if size >= least:
             whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            lead = whole.column("lead")
-            stop, last = size - 1, lead[size - 1]
-            while stop and lead[stop - 1] == last:
+            lead = whole.column("suffix")
+            stop, last = size - 1, lead[size - 1].as_py()[:GRAM]
+            while stop and lead[stop - 1].as_py()[:GRAM] == last:
                 stop -= 1
             if stop:
                 yield whole.slice(0, stop)
@@ -276,34 +293,28 @@ def compared(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     n = batch.num_rows
     if n < 2:
         return
-    chunk, row, place, low, high, doc = (
-        batch.column(c).to_numpy() for c in ("chunk", "row", "place", "low", "high", "doc_id"))
-    before = batch.column("before").to_numpy().astype(np.int64)
-    body = batch.column("body")
-    offsets = np.frombuffer(body.buffers()[1], np.int32)[body.offset:body.offset + n + 1].astype(np.int64)
-    raw = np.frombuffer(body.buffers()[2], np.uint8)
-    sizes = np.diff(offsets)
-    # Around the anchor: at most LEFT bytes before it and SPAN from it on, blank beyond the body.
-    grid = np.arange(-LEFT, SPAN)
-    inside = (grid >= -before[:, None]) & (grid < (sizes - before)[:, None])
-    around = np.where(inside, raw[np.clip((offsets[:-1] + before)[:, None] + grid, 0, max(len(raw) - 1, 0))], 0)
-    around = around.astype(np.uint8)
+    chunk, spot, doc = (batch.column(c).to_numpy() for c in ("chunk", "spot", "doc_id"))
+    place = spot & PLACE
+    # Around the anchor: at most LEFT bytes before it and SPAN from it on, blank beyond.
+    ahead, right = cells(batch.column("suffix"), np.arange(SPAN), False)
+    before, left = cells(batch.column("before"), np.arange(LEFT), True)
+    around = np.concatenate([left, right], 1)
     # Sort key: the suffix, the bytes before it from right to left, and both lengths.
     pad = np.zeros((n, -(-(LEFT + SPAN + 2) // 8) * 8), np.uint8)
     pad[:, :SPAN] = around[:, LEFT:]
     pad[:, SPAN:SPAN + LEFT] = around[:, :LEFT][:, ::-1]
     pad[:, SPAN + LEFT] = before
-    pad[:, SPAN + LEFT + 1] = sizes - before
+    pad[:, SPAN + LEFT + 1] = ahead
     words = pad.view(">u8").astype(np.uint64)
     order, run = multikey_sorted(words)
     rank = np.empty(n, np.int64)
-    rank[np.lexsort((place, row, chunk, doc))] = np.arange(n)
+    rank[np.lexsort((spot, chunk, doc))] = np.arange(n)
     # Equal in full: all but the first go whole.
     firsts = np.full(run[-1] + 1, n)
     np.minimum.at(firsts, run, rank[order])
     later = np.zeros(n, bool)
     later[order] = rank[order] != firsts[run]
-    yield cut_batch(chunk[later], row[later], low[later], high[later])
+    yield cut_batch(chunk[later], spot[later], (place - before)[later], (place + ahead)[later])
     # Equal in part: neighbours with the same leading bytes, string by string.
     kept = order[~later[order]]
     lead = words[kept, :GRAM // 8]
@@ -313,20 +324,39 @@ def compared(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     kept = kept[np.argsort(rank[kept])]
     if not len(kept):
         return
-    least = SPAN - (sizes - before)[kept]  # fewest bytes before the anchor that a string has
+    least = SPAN - ahead[kept]  # fewest bytes before the anchor that a string has
+    gone = np.zeros((len(kept), LEFT + 2), bool)  # strings by the bytes they have before the anchor
     for d in range(LEFT + 1):
-        own = kept[(least <= d) & (d <= before[kept])]
+        own = np.flatnonzero((least <= d) & (d <= before[kept]))
         if len(own) < 2:
             continue
-        strings = np.ascontiguousarray(around[own, LEFT - d:LEFT - d + SPAN]).view(f"V{SPAN}").ravel()
+        strings = np.ascontiguousarray(
+            around[kept[own], LEFT - d:LEFT - d + SPAN]).view(f"V{SPAN}").ravel()
         _, first, which = np.unique(strings, return_index=True, return_inverse=True)
-        gone = own[first[which] != np.arange(len(own))]
-        yield cut_batch(chunk[gone], row[gone], place[gone] - d, place[gone] - d + SPAN)
+        gone[own[first[which] != np.arange(len(own))], d] = True
+    edge = np.diff(gone.astype(np.int8), axis=1, prepend=0)
+    who, fewest = np.nonzero(edge == 1)
+    most = np.nonzero(edge == -1)[1] - 1
+    k = kept[who]
+    yield cut_batch(chunk[k], spot[k], place[k] - most, place[k] - fewest + SPAN)
+
+
+def cells(column: pa.BinaryArray, grid: np.ndarray, from_right: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Length of each value, and its bytes in a table, blank where it has none."""
+    n = len(column)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + n + 1].astype(np.int64)
+    raw = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    sizes = np.diff(offsets)
+    at = grid - (len(grid) - sizes[:, None]) if from_right else np.broadcast_to(grid, (n, len(grid)))
+    inside = (at >= 0) & (at < sizes[:, None])
+    if not len(raw):
+        return sizes, np.zeros((n, len(grid)), np.uint8)
+    return sizes, np.where(inside, raw[np.clip(offsets[:-1, None] + at, 0, len(raw) - 1)], 0).astype(np.uint8)
 
 
-def cut_batch(chunk, row, low, high) -> pa.RecordBatch:
+def cut_batch(chunk, spot, low, high) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(chunk), pa.array(row, pa.int32()), pa.array(low), pa.array(high)],
+        [pa.array(chunk), pa.array((spot >> 40).astype(np.int32)), pa.array(low), pa.array(high)],
         ["chunk", "row", "low", "high"])
 
 
