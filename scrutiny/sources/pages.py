@@ -6,7 +6,7 @@ functions, so pages spread over tasks and nothing is parsed on the driver.
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,17 @@ from scrutiny.functions.scalars import _col
 
 # Java's \s plus the no-break space, which text stripping removes as well.
 _BLANK = r"[\s\u00a0]"
+# What may follow a tag's name up to its end; a ``>`` inside quotes does not end it.
+_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+_SKIP = r"""(?:[^>"']|"[^"]*+"|'[^']*+')*?"""
+_LINK = rf"(?is)(<a(?=[\s>]){_REST}>.*?</a\s*>)"
+# Names that browsers decode without a semicolon, longest first (from the standard library).
+_BARE = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
+
+
+def without_comments(html: Column | str) -> Column:
+    return F.regexp_replace(_col(html), r"(?s)<!--.*?-->", "")
+
 
 def _code_points() -> Column:
     """Code points of the named character references, from the standard library."""
@@ -40,10 +51,13 @@ def unescape(text: Column) -> Column:
             .when(F.substring(name, 1, 1) == "#", F.substring(name, 2, 7).cast("int"))
             .otherwise(F.try_element_at(points, name))
         )
+        bare = F.regexp_extract(part, rf"^&({_BARE})", 1)
+        used = F.when(code.isNotNull(), F.length(name) + 3).otherwise(F.length(bare) + 2)
+        code = F.coalesce(code, F.try_element_at(points, bare))
         valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
         char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
         return F.when(
-            valid, F.concat(char, F.substring(part, F.length(name) + 3, F.length(part)))
+            valid, F.concat(char, F.substring(part, used, F.length(part)))
         ).otherwise(part)
 
     decoded = F.array_join(F.transform(F.split(text, "(?=&)"), piece), "")
@@ -52,7 +66,7 @@ def unescape(text: Column) -> Column:
 
 def inner_text(html: Column | str) -> Column:
     """Text between the tags: every piece stripped, the pieces put together."""
-    pieces = F.split(_col(html), r"<[^>]*>")
+    pieces = F.split(_col(html), rf"<(?=[a-zA-Z/!?]){_REST}>")
     stripped = F.transform(
         pieces, lambda t: F.regexp_replace(unescape(t), f"^{_BLANK}+|{_BLANK}+$", "")
     )
@@ -64,10 +78,11 @@ def absolute(href: Column, base: str) -> Column:
 
 
 def attribute(tag: Column, name: str) -> Column:
-    """Value of a tag's attribute, quoted either way; ``""`` if it has none."""
-    double = F.regexp_extract(tag, rf'(?is)\b{name}\s*=\s*"([^"]*)"', 1)
-    single = F.regexp_extract(tag, rf"(?is)\b{name}\s*=\s*'([^']*)'", 1)
-    return unescape(F.when(double != "", double).otherwise(single))
+    """Value of a tag's attribute, quoted either way or not at all; ``""`` if it has none."""
+    before = rf"(?is)^<[a-z]{_SKIP}\s{name}\s*=\s*"
+    forms = [F.regexp_extract(tag, before + value, 1)
+             for value in ('"([^"]*)"', "'([^']*)'", r"""([^\s"'>]+)""")]
+    return unescape(F.coalesce(*[F.nullif(f, F.lit("")) for f in forms], F.lit("")))
 
 
 def catalogue_entries(pages: DataFrame, base: str, html: str = "html",
@@ -77,16 +92,20 @@ def catalogue_entries(pages: DataFrame, base: str, html: str = "html",
     Articles whose first heading (h2, h3 or h4) is missing or holds no link are left
     out. ``position`` is the article's place on its page.
     """
-    articles = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<article\b[^>]*>(.*?)</article>"), 1)
+    articles = F.regexp_extract_all(
+        without_comments(html), F.lit(rf"(?is)<article(?=[\s>]){_REST}>(.*?)</article\s*>"), 1)
     rows = pages.select(key, F.posexplode(articles).alias("position", "article"))
-    heading = F.regexp_extract("article", r"(?is)<(h[234])\b[^>]*>(.*?)</\1>", 2)
+    heading = F.regexp_extract("article", rf"(?is)<(h[234])(?=[\s>]){_REST}>(.*?)</\1\s*>", 2)
     rows = rows.withColumn("heading", heading)
-    link = F.regexp_extract("heading", r"(?is)<a\b[^>]*>.*?</a>", 0)
+    link = F.regexp_extract("heading", _LINK, 1)
     rows = rows.withColumn("link", link).filter(F.col("link") != "")
-    opening = F.regexp_extract("link", r"(?is)^<a\b[^>]*>", 0)
+    opening = F.regexp_extract("link", rf"(?is)^<a{_REST}>", 0)
     dated = F.regexp_extract(
         "article",
-        r"""(?is)<([a-z][a-z0-9]*)\b[^>]*\bclass\s*=\s*["'][^"']*date[^"']*["'][^>]*>(.*?)</\1>""",
+        # One element of the same name may lie inside.
+        rf"(?is)<([a-z][a-z0-9]*)(?=\s){_SKIP}\sclass\s*=\s*"
+        r"""(?:"[^"]*date[^"]*"|'[^']*date[^']*'|[^\s"'>]*date[^\s"'>]*)"""
+        rf"{_REST}>((?:[^<]++|<(?!/?\1[\s>])|<\1(?=[\s>]){_REST}>(?:[^<]++|<(?!/?\1[\s>]))*+</\1\s*>)*+)</\1\s*>",
         2,
     )
     return rows.select(
@@ -101,10 +120,10 @@ def catalogue_entries(pages: DataFrame, base: str, html: str = "html",
 def download_links(pages: DataFrame, base: str, html: str = "html",
                    key: str = "page_id") -> DataFrame:
     """Links to .csv, .xlsx, .zip and .csv.gz files: name, address, format."""
-    links = F.regexp_extract_all(F.col(html), F.lit(r"(?is)(<a\b[^>]*>.*?</a>)"), 1)
+    links = F.regexp_extract_all(without_comments(html), F.lit(_LINK), 1)
     rows = pages.select(key, F.posexplode(links).alias("position", "link"))
     rows = rows.withColumn(
-        "href", attribute(F.regexp_extract("link", r"(?is)^<a\b[^>]*>", 0), "href")
+        "href", attribute(F.regexp_extract("link", rf"(?is)^<a{_REST}>", 0), "href")
     ).filter(F.col("href").rlike(r"(?i)\.(csv|xlsx|zip|csv\.gz)\z"))
     label = inner_text("link")
     return rows.select(
@@ -119,12 +138,12 @@ def download_links(pages: DataFrame, base: str, html: str = "html",
 
 def links(pages: DataFrame, html: str = "html", key: str = "page_id") -> DataFrame:
     """All links of a page with their text, in order."""
-    found = F.regexp_extract_all(F.col(html), F.lit(r"(?is)(<a\b[^>]*>.*?</a>)"), 1)
+    found = F.regexp_extract_all(without_comments(html), F.lit(_LINK), 1)
     rows = pages.select(key, F.posexplode(found).alias("position", "link"))
     return rows.select(
         key,
         F.col("position").cast("bigint").alias("position"),
-        attribute(F.regexp_extract("link", r"(?is)^<a\b[^>]*>", 0), "href").alias("href"),
+        attribute(F.regexp_extract("link", rf"(?is)^<a{_REST}>", 0), "href").alias("href"),
         inner_text("link").alias("label"),
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from scrutiny.plans.catalogue import monitor
+from scrutiny.sources.tables import table_exists
 from scrutiny.streaming.common import overwrite_batch
 
 #: Snapshots later than this are dropped.
@@ -62,10 +63,21 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
 
 def monitor_stream(entries: DataFrame, previous: DataFrame, path: str,
                    checkpoint: str) -> StreamingQuery:
-    """New catalogue entries as they arrive, each with whether it announces results."""
+    """New catalogue entries as they arrive, each with whether it announces results.
+
+    An address counts once: not again in its batch, and not if an earlier batch reported it,
+    so what is written is the saved catalogue that later deliveries are compared with.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        overwrite_batch(monitor(batch, previous), path, batch_id)
+        spark = batch.sparkSession
+        order = [n for n in batch.columns if n != "url"]
+        first = batch.groupBy("url").agg(F.min(F.struct(*order)).alias("row"))
+        new = monitor(first.select("row.*", "url").select(*batch.columns), previous)
+        if table_exists(spark, path):
+            before = spark.read.parquet(path).where(F.col("batch_id") < batch_id)
+            new = new.join(before.select("url").distinct(), "url", "left_anti")
+        overwrite_batch(new, path, batch_id)
 
     return (
         entries.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)

@@ -33,7 +33,7 @@ def test_character_references(spark):
     import html
 
     texts = ["a &amp;lt; b", "&#243;&#xF3;&oacute;", "&nope; & &;", "&#38;lt;", "&#128512;!", "plain", "&quot;x&apos;",
-             "x&nbsp;y", "&&amp;&"]
+             "x&nbsp;y", "&copy 2026", "&ampx &notit;", "&&amp;&"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [r[0] for r in rows.select(pages.unescape(F.col("t"))).collect()] == [html.unescape(t) for t in texts]
 
@@ -45,6 +45,17 @@ def test_downloads(spark):
         ("Ee", "https://d.org/e.xlsx", "xlsx")]
 
 
+def test_attributes_as_browsers_read_them(spark):
+    html = """<!-- <article><h2><a href="/no">commented out</a></h2></article> -->
+    <article data-class="date"><h2><a title="a>b" data-href="/x" href=/uno.csv>Uno &copy 2026</a></h2>
+    <p data-class="date">no</p><span id=q class='x date'>2026-<span>04</span>-18</span></article>
+    <abbr href="/no.csv">x</abbr><a href = '/dos.zip' >Dos</a ><a data-x='href="/no.csv"' HREF=/tres.xlsx>Tres</a>"""
+    rows = pages.catalogue_entries(page(spark, html), BASE).collect()
+    assert [(r.title, r.url, r.raw_date) for r in rows] == [("Uno © 2026", "https://d.org/uno.csv", "2026-04-18")]
+    found = pages.download_links(page(spark, html), BASE).orderBy("position").collect()
+    assert [r.url for r in found] == [f"https://d.org/{n}" for n in ("uno.csv", "dos.zip", "tres.xlsx")]
+
+
 def test_embedded_json(spark):
     def wrap(text):
         return f'<script id="__NEXT_DATA__" type="application/json">{text}</script>'

@@ -100,3 +100,19 @@ def test_refresh_only_lets_volatile_actas_through(spark, tmp_path):
     common.run_available(progress.append_stream(
         ingest.refresh_stream(stream, volatile), str(tmp_path / "out"), str(tmp_path / "ck")))
     assert sorted(r.req_acta_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [2, 3]
+
+
+def test_an_address_is_reported_once(spark, tmp_path):
+    from scrutiny.streaming import common, progress
+
+    ddl = "page_id bigint, position bigint, title string, url string"
+    previous = spark.createDataFrame([(0, 0, "old", "/old")], ddl)
+    deliveries = [[(1, 0, "Uno", "/1"), (2, 0, "Uno otra vez", "/1"), (3, 0, "viejo", "/old")],
+                  [(4, 0, "Uno tarde", "/1"), (5, 0, "Dos", "/2")]]
+    for rows in deliveries:
+        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        source = common.file_stream(spark, f"{tmp_path}/in", ddl)
+        common.run_available(progress.monitor_stream(
+            source, previous, f"{tmp_path}/out", f"{tmp_path}/ck"))
+    out = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert sorted((r.page_id, r.url) for r in out) == [(1, "/1"), (5, "/2")]
