@@ -591,30 +591,48 @@ def _(t):
         F.sum("nvotos").alias("nvotos"))
 
 
-def _package(t) -> str:
+def _package(t, table: str, folder: str, name: str, content: str) -> str:
+    """Files of one line each, in a folder for each value of a column; Spark names the files."""
     base = scratch_path(t.spark, "release")
-    sinks.write_csv(t("mesas"), f"{base}/csv")
-    sinks.write_table(t("padron"), f"{base}/parquet")
+    rows = t(table).select(F.col(folder).alias("folder"), F.col(name).alias("part"), content)
+    rows.write.partitionBy("folder", "part").text(base)
     return base
 
 
-@query("checksum_manifest", "E8 F22 S14 O1")
+def _named(manifest):
+    """Without the part of the name that Spark chooses."""
+    return manifest.withColumn(
+        "rel_path", F.regexp_replace("rel_path", r"/part-[^/]*(\.[a-z]+)$", r"/file$1")
+    ).filter(~F.col("rel_path").rlike("(^|/)[._][^/]*$"))
+
+
+@query("checksum_manifest", "E8 F22 S14 O1", """
+SELECT sha256(n_name || chr(10)) AS sha256,
+  'folder=' || n_regionkey || '/part=' || n_nationkey || '/file.txt' AS rel_path FROM {nation}""")
 def _(t):
-    return export.checksum_manifest(files.file_manifest(t.spark, _package(t)))
+    base = _package(t, "nation", "n_regionkey", "n_nationkey", "n_name")
+    return export.checksum_manifest(_named(files.file_manifest(t.spark, base)))
 
 
-@query("package_summary", "E9 S14 A1 A3")
+@query("package_summary", "E9 S14 A1 A3", """
+SELECT folder, files, bytes, round(bytes / 1000000.0, 2) AS mb FROM (
+  SELECT 'folder=' || n_regionkey AS folder, count(*) AS files,
+    CAST(sum(strlen(n_name) + 1) AS BIGINT) AS bytes FROM {nation} GROUP BY 1
+  UNION ALL SELECT 'total', count(*), CAST(sum(strlen(n_name) + 1) AS BIGINT) FROM {nation}) x""")
 def _(t):
-    return export.package_summary(files.file_manifest(t.spark, _package(t), with_hash=False))
+    base = _package(t, "nation", "n_regionkey", "n_nationkey", "n_name")
+    return export.package_summary(_named(files.file_manifest(t.spark, base, with_hash=False)))
 
 
-@query("pdf_files_on_disk", "R9 S14")
+@query("pdf_files_on_disk", "R9 S14", """
+SELECT count(*) AS files_on_disk FROM {nation}""")
 def _(t):
     from scrutiny.plans.analytics import files_on_disk
 
-    base = scratch_path(t.spark, "pdfs")
-    t("documents").select("lang", "text").write.partitionBy("lang").parquet(base)
-    return files_on_disk(files.file_manifest(t.spark, base, with_hash=False), ".parquet")
+    base = _package(t, "nation", "n_regionkey", "n_nationkey", "n_name")
+    listed = _named(files.file_manifest(t.spark, base, with_hash=False)).withColumn(
+        "rel_path", F.regexp_replace("rel_path", r"\.txt$", ".pdf"))
+    return files_on_disk(listed)
 
 
 @query("release_plan", "E7", """

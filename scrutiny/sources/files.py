@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrutiny.functions.scalars import content_hash
-
 #: RFC 4180: quotes are doubled inside quotes, blanks belong to the value.
 CSV_FORMAT = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE",
               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
@@ -121,8 +119,8 @@ def read_official_csv(spark: SparkSession, path: str, types: dict[str, str] | No
 def file_manifest(spark: SparkSession, base: str, with_hash: bool = True) -> DataFrame:
     """Every file under a folder: relative path, size and (on request) SHA-256.
 
-    Without the hash the contents are not read at all. With it, every file is one row
-    of one task, so it must fit there (below 2 GB).
+    Without the hash the contents are not read at all. With it, tasks read their files
+    piece by piece, so a file may have any size.
     """
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(base)
     fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -133,11 +131,34 @@ def file_manifest(spark: SparkSession, base: str, with_hash: bool = True) -> Dat
     # Spark writes local paths as file:/x or file:///x depending on the place.
     plain_root = root.split(":", 1)[1].lstrip("/") if ":" in root else root.lstrip("/")
     plain = F.regexp_replace("path", r"^[a-zA-Z0-9]+:/*", "")
-    out = files.withColumn("rel_path", F.substring(plain, len(plain_root) + 2, 1_000_000))
-    columns = ["rel_path", F.col("length").alias("bytes")]
-    if with_hash:
-        columns.append(content_hash("content").alias("sha256"))
-    return out.select(*columns)
+    out = files.select(
+        "path", F.substring(plain, len(plain_root) + 2, 1_000_000).alias("rel_path"),
+        F.col("length").alias("bytes"))
+    if not with_hash:
+        return out.drop("path")
+    return out.mapInPandas(_digests(), "rel_path string, bytes bigint, sha256 string")
+
+
+def _digests(piece: int = 8 << 20):
+    """The hashing task; made here so that it travels to the executors by value."""
+
+    def read(batches):
+        import hashlib
+
+        import pyarrow.fs as pafs
+
+        for batch in batches:
+            found = []
+            for path in batch["path"]:
+                filesystem, inner = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+                digest = hashlib.sha256()
+                with filesystem.open_input_stream(inner, compression=None) as handle:
+                    while data := handle.read(piece):
+                        digest.update(data)
+                found.append(digest.hexdigest())
+            yield batch[["rel_path", "bytes"]].assign(sha256=found)
+
+    return read
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
