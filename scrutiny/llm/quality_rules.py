@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -135,14 +136,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFram
               .groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")
-    return (docs.select("doc_id", "text")
-            .join(chosen.withColumn("place", F.row_number().over(order)), "doc_id")
+    # At most ``sample`` rows of three numbers: small enough to go to every task.
+    placed = F.broadcast(chosen.withColumn("place", F.row_number().over(order)))
+    return (docs.select("doc_id", "text").join(placed, "doc_id")
             .groupBy("doc_id").agg(F.max("text").alias("text"), F.first("quality").alias("quality"),
                                    F.first("toxic").alias("toxic"), F.min("place").alias("place")))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000,
-        junk_sample: int = 3000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000,
+        junk_sample: int = 2000) -> Model:
     """Fit both regressions on at most ``sample`` labelled rows.
 
     Toxic words are rare, so all rows of the sample count for them (about 2 KB a row reach the
@@ -166,9 +168,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000,
 
     rows = (labelled_sample(docs, labels, sample)
             .mapInArrow(features, "doc_id bigint, quality int, toxic int, junk binary, words binary")
-            .collect())
-    rows.sort(key=lambda r: r["doc_id"])
-    aside = np.array([zlib.crc32(str(r["doc_id"]).encode()) % 4 == 0 for r in rows], bool)
+            .toArrow().sort_by("doc_id"))
+    aside = np.array([zlib.crc32(str(i).encode()) % 4 == 0 for i in rows["doc_id"].to_pylist()], bool)
     return Model(_fit_junk(rows, aside), _fit_toxic(rows, aside))
 
 
@@ -176,44 +177,47 @@ def _both_kinds(y: np.ndarray) -> bool:
     return 0 < y.sum() < len(y)
 
 
-def _fit_junk(rows: list, aside: np.ndarray) -> tuple | None:
-    own = [i for i, r in enumerate(rows) if r["quality"] is not None and r["junk"] is not None]
-    y = np.array([rows[i]["quality"] == 0 for i in own], float)
+def _trained(aside: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows to fit on and rows to calibrate on; all for both where one kind would be missing."""
+    if _both_kinds(y[aside]) and _both_kinds(y[~aside]):
+        return ~aside, aside
+    return np.ones(len(y), bool), np.ones(len(y), bool)
+
+
+def _fit_junk(rows: pa.Table, aside: np.ndarray) -> tuple | None:
+    own = pc.and_(pc.is_valid(rows["quality"]), pc.is_valid(rows["junk"]))
+    some = rows.filter(own)
+    y = (some["quality"].to_numpy() == 0).astype(float)
     if not _both_kinds(y):
         return None
-    x = np.stack([np.frombuffer(rows[i]["junk"], np.float16) for i in own]).astype(np.float32)
-    held = aside[own] if _both_kinds(y[aside[own]]) and _both_kinds(y[~aside[own]]) else None
-    train = ~held if held is not None else np.ones(len(y), bool)
-    w, bias = logistic.fit_dense(x[train], y[train])
-    test = held if held is not None else train
-    return (w.astype(np.float32), bias, *logistic.calibrated(x[test] @ w + bias, y[test]))
+    x = np.frombuffer(b"".join(some["junk"].to_pylist()), np.float16).reshape(len(y), -1)
+    train, test = _trained(aside[own.to_numpy()], y)
+    w, bias = logistic.fit_dense(x[train].astype(np.float32), y[train])
+    return (w, bias, *logistic.calibrated(x[test].astype(np.float32) @ w + bias, y[test]))
 
 
-def _fit_toxic(rows: list, aside: np.ndarray, least: int = 3) -> tuple | None:
-    own = [i for i, r in enumerate(rows) if r["toxic"] is not None]
-    y = np.array([rows[i]["toxic"] > 0 for i in own], float)
+def _fit_toxic(rows: pa.Table, aside: np.ndarray, least: int = 3) -> tuple | None:
+    own = pc.is_valid(rows["toxic"])
+    some = rows.filter(own)
+    y = (some["toxic"].to_numpy() > 0).astype(float)
     if not _both_kinds(y):
         return None
-    words = [np.frombuffer(rows[i]["words"], "<u4").astype(np.int64) for i in own]
-    seen, times = np.unique(np.concatenate(words), return_counts=True)
+    sizes = pc.binary_length(some["words"]).to_numpy().astype(np.int64) // 4
+    words = np.frombuffer(b"".join(some["words"].to_pylist()), "<u4")
+    seen, times = np.unique(words, return_counts=True)
     seen = seen[times >= least]
-    held = aside[own] if _both_kinds(y[aside[own]]) and _both_kinds(y[~aside[own]]) else None
-    train = ~held if held is not None else np.ones(len(y), bool)
-
-    def entries(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        some = [words[i] for i in np.flatnonzero(which)]
-        flat, n = np.concatenate([*some, np.array([], int)]), np.array([len(x) for x in some])
-        at = np.minimum(np.searchsorted(seen, flat), max(0, len(seen) - 1))
-        hit = seen[at] == flat if len(seen) else np.zeros(len(flat), bool)
-        return at[hit], summed(hit.astype(np.int64), n)
-
-    columns, sizes = entries(train)
-    w, bias = logistic.fit_sparse(columns, sizes, len(seen), y[train])
-    test = held if held is not None else train
-    columns, sizes = entries(test)
-    z = summed(w[columns], sizes) + bias
+    if not len(seen):
+        return None
+    at = np.minimum(np.searchsorted(seen, words), len(seen) - 1)
+    hit = seen[at] == words
+    sizes = summed(hit.astype(np.int64), sizes)
+    at = at[hit].astype(np.int32)
+    row = np.repeat(np.arange(len(y), dtype=np.int32), sizes)
+    train, test = _trained(aside[own.to_numpy()], y)
+    w, bias = logistic.fit_sparse(at[train[row]], sizes[train], len(seen), y[train])
+    z = summed(w[at[test[row]]], sizes[test]) + bias
     used = w != 0
-    return (seen[used], w[used], bias, *logistic.calibrated(z, y[test]))
+    return (seen[used].astype(np.int64), w[used], bias, *logistic.calibrated(z, y[test]))
 
 
 def score(s: Slice, counts: dict[str, np.ndarray], model: Model) -> tuple[np.ndarray, np.ndarray]:
