@@ -40,13 +40,13 @@ def _(t):
 
 @query("curate_auxiliary", "B04", """
 SELECT v.idActa, v.nposicion, v.estado FROM (
-  SELECT idActa, nposicion, run_ts_ms, 'R' AS estado FROM {votos} WHERE nvotos > 25) v
+  SELECT idActa, nposicion, run_ts_ms, 'R' AS estado FROM {votos}) v
 JOIN (SELECT idActa, max(run_ts_ms) AS m FROM {cab_facts} GROUP BY idActa) w
 ON v.idActa = w.idActa AND v.run_ts_ms = w.m""")
 def _(t):
     from scrutiny.operators.versions import latest_runs
 
-    events = t("votos").filter(F.col("nvotos") > 25).select(
+    events = t("votos").select(
         "idActa", "nposicion", "run_ts_ms", F.lit("R").alias("estado"))
     return curate.curate_child(events, latest_runs(t("cab_facts")))
 

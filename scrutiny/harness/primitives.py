@@ -618,19 +618,19 @@ def _(t):
 
 @query("operation_ids", "F15", """
 SELECT doc_id, w, regexp_full_match(w, '[\\p{L}\\p{N}_.\\-]+') AS valido FROM (
-  SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN source || '-' || doc_id
-    ELSE regexp_replace(text, '[\\t\\n\\f\\r ]+', '_', 'g') END AS w FROM {documents}) x""")
+  SELECT doc_id, source || '-' || doc_id AS w FROM {documents}
+  UNION ALL SELECT doc_id, regexp_replace(text, '[\\t\\n\\f\\r ]+', '_', 'g') FROM {documents}) x""")
 def _(t):
-    word = F.when(F.col("doc_id") % 2 == 0, F.concat_ws("-", "source", "doc_id")).otherwise(
-        F.regexp_replace("text", r"[\t\n\f\r ]+", "_"))
-    return t("documents").select("doc_id", word.alias("w")).withColumn(
+    words = F.array(F.concat_ws("-", "source", "doc_id"),
+                    F.regexp_replace("text", r"[\t\n\f\r ]+", "_"))
+    return t("documents").select("doc_id", F.explode(words).alias("w")).withColumn(
         "valido", S.operation_id_is_valid("w"))
 
 
 _TITLE = """CASE doc_id % 9 WHEN 0 THEN 'Elección General 2026' WHEN 1 THEN 'Elecciones generales 20 26'
   WHEN 2 THEN 'datos EG 2026 final' WHEN 3 THEN 'Resultado de la mesa 2026'
   WHEN 4 THEN 'PRESIDENCIALES 2026' WHEN 5 THEN 'senador 2026' WHEN 6 THEN 'diputados  2026'
-  WHEN 7 THEN 'congresales 2021' ELSE text END"""
+  WHEN 7 THEN 'congresales 2021' ELSE '' END || chr(10) || text"""
 
 
 @query("title_class", "F16", f"""
