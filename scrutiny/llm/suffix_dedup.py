@@ -104,8 +104,6 @@ class Chunk:
         """Hash, place, first and last span, and row of each anchor of a document with an id."""
         h, at, first, last = anchors(self.raw, self.sizes)
         row = np.searchsorted(self.starts, at, side="right") - 1
-        while len(row) and (self.sizes[row] == 0).any():  # not the empty texts at the same start
-            row = np.where(self.sizes[row] == 0, row - 1, row)
         named = np.array([d is not None for d in self.doc_ids], bool)[row]
         return h[named], at[named], first[named], last[named], row[named]
 
