@@ -29,7 +29,7 @@ ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 FIRST = "\x1f"  # marks the key of a unit that no white space precedes
 UNIT_CHARS = 64  # longer units are not remembered
-REMEMBERED = 900_000  # units; the memory starts anew when it is full
+REMEMBERED = 700_000  # units; the memory starts anew when it is full
 
 
 class Numbers(dict):

@@ -30,7 +30,8 @@ from scrutiny.llm.encoding import encoder, slots
 from scrutiny.llm.token_output import list_array, run_crcs, with_end
 
 SHARD_DOCS = 256
-SHARD_TOKENS = 2 << 20
+SHARD_TOKENS = 1 << 20
+SLICE_BYTES = 2 << 20  # of ids whose distinct terms are counted at once
 K1, B = 1.2, 0.75
 #: Neighbours looked at for one that fits the rest of a window whole.
 NEAREST = 16
@@ -56,7 +57,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1,
     mean = n_tokens / max(1, n_docs)
 
     def telling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_slices(batches, "ids", SLICE_BYTES):
             first, second = top_terms(*blobs(batch.column("ids"), width), idf)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(first), pa.array(second)],
@@ -122,7 +123,7 @@ def _presence(width: str):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(0, np.int64)
         n_docs = n_tokens = 0
-        for batch in batches:
+        for batch in text_slices(batches, "ids", SLICE_BYTES):
             flat, sizes = blobs(batch.column("ids"), width)
             n = np.bincount(term_counts(flat, sizes)[1])
             if len(n) > len(held):
