@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from scrutiny.llm.common import stored, text_slices
 from scrutiny.llm.components import components
-from scrutiny.llm.trie_join import links
+from scrutiny.llm.trie_join import apart, links
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 ONES = np.uint64(0x0101010101010101)
@@ -162,10 +162,12 @@ def _named(docs: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, size: int = 5, least: float = 0.8, budget: int = 4) -> DataFrame:
     """``doc_id, component_id`` of documents that have a near or exact copy with another id.
 
-    The similarity is that of the sets of word shingles. Only ties of the trie join are
-    compared (each text with its nearest in every bucket, and with one of its group), and only
-    their texts are cut into shingles. Rows that share an identifier are one document, similar
-    to another if any of its texts is.
+    The similarity is that of the sets of word shingles. Ties of the trie join are compared
+    first (each text with its nearest in every bucket, and with one of its group), and only their
+    texts are cut into shingles. A tie that fails decides nothing about others, so each text is
+    then compared with the partner that most were similar to, and at last every pair within the
+    budget that is still between two groups. Rows that share an identifier are one document,
+    similar to another if any of its texts is.
     """
     rows = stored(sketched(docs), "sketches")
     copies = rows.groupBy("words_key").agg(F.min("doc_id").alias("node"))
@@ -182,12 +184,31 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: float = 0.8, budget:
     pairs = stored(candidates.distinct(), "candidates")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     sets = stored(shingle_sets(docs.join(asked, "doc_id", "left_semi"), size), "shingles")
-    found = verified(pairs, sets, least)
+    found = stored(verified(pairs, sets, least), "similar")
+    nodes = stored(texts.join(asked.withColumnRenamed("doc_id", "node"), "node", "left_semi").join(
+        sets.groupBy(F.col("doc_id").alias("node")).agg(
+            F.min(F.size("shingles")).cast("bigint").alias("low"),
+            F.max(F.size("shingles")).cast("bigint").alias("high")), "node")
+        .select("node", "low", "high", F.posexplode("fps").alias("seed", "fp")), "undecided")
+    for leading in (True, False):
+        more = stored(apart(labelled(nodes, found), budget, least, leading)
+                      .join(pairs, ["a", "b"], "left_anti"), "candidates")
+        pairs = pairs.unionByName(more)
+        found = found.unionByName(stored(verified(more, sets, least), "similar"))
     whole = found.unionByName(owned.where("doc_id <> node").select(
         F.col("node").alias("a"), F.col("doc_id").alias("b")))
     return components(whole).withColumnsRenamed({"node": "doc_id", "component": "component_id"})
 
 
+def labelled(nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """``nodes`` with the group that each is in by the pairs found, and with the number of its pairs."""
+    ends = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(
+        F.count("*").alias("weight"))
+    return nodes.join(components(found), "node", "left").join(ends, "node", "left").select(
+        "node", "fp", F.col("seed").cast("bigint").alias("seed"), "low", "high",
+        F.coalesce("component", "node").alias("label"), F.coalesce("weight", F.lit(0)).alias("weight"))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The pairs whose shingle sets have at least that Jaccard similarity."""
     a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left"))

@@ -10,6 +10,9 @@ of nodes as soon as it is over the budget. A trie node is a range of the sorted
 What comes out are not all pairs: in each bucket the members of a linked group are tied to
 one of them, and each to its nearest, so the rows stay in proportion to the input however
 large a group is, and no connection is lost.
+
+``apart`` is for callers that check the pairs of a walk by a rule of their own, under which ties
+that fail leave others undecided: it gives the pairs between groups that are not connected yet.
 """
 
 from __future__ import annotations
@@ -55,40 +58,101 @@ def links(nodes: DataFrame, budget: int = 4) -> DataFrame:
     cut = blocks(budget)
     choices = list(combinations(range(len(cut)), 2))
 
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, fp, node in whole_buckets(batches, ("bucket", "fp", "node")):
+            a, b, bits = walked(bucket, fp, node, cut, choices, budget)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a), pa.array(b), pa.array(bits)], ["a", "b", "bits"])
+
+    return (dealt(nodes, cut, choices, ["fp", "node"])
+            .mapInArrow(walk, "a bigint, b bigint, bits int")
+            .groupBy("a", "b").agg(F.min("bits").alias("bits")))
+
+
+def dealt(nodes: DataFrame, cut: list, choices: list, columns: list[str]) -> DataFrame:
+    """Rows (bigint columns, one of them ``fp``) in every bucket of theirs, whole buckets together.
+
+    Values of different ``seed``, if there is such a column, never meet.
+    """
+
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 8192):
                 part = batch.slice(at, 8192)
                 fp = part.column("fp").to_numpy().view(np.uint64)
-                keys = []
+                seed = part.column("seed").to_numpy() if "seed" in columns else np.zeros(len(fp), np.int64)
+                keys, n = [], len(choices)
                 for c, (i, j) in enumerate(choices):
                     wide = cut[i][1] + cut[j][1]
                     top = reordered(fp, [cut[i], cut[j]]) >> np.uint64(64 - wide)
-                    keys.append((np.int64(c) << 40) | top.astype(np.int64))
-                n = len(choices)
+                    keys.append((seed * n + c) << 40 | top.astype(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys)), pa.array(np.tile(fp.view(np.int64), n)),
-                     pa.array(np.tile(part.column("node").to_numpy(), n))], ["bucket", "fp", "node"])
+                    [pa.array(np.concatenate(keys)),
+                     *(pa.array(np.tile(part.column(c).to_numpy(), n)) for c in columns)],
+                    ["bucket", *columns])
+
+    return (nodes.select(*columns)
+            .mapInArrow(spread, ", ".join(f"{c} bigint" for c in ("bucket", *columns)))
+            .repartition(partitions(nodes.sparkSession), "bucket").sortWithinPartitions("bucket"))
+
+
+def apart(nodes: DataFrame, budget: int, least: float, leading: bool) -> DataFrame:
+    """``a, b``: pairs within the budget whose labels differ and whose sizes allow the similarity.
+
+    ``nodes`` has ``node, fp, seed, label, low, high, weight``: any number of nodes for a
+    fingerprint, the range of a node's set sizes, and how much a node stands for others. With
+    ``leading`` only the heaviest partner of each node in each bucket comes out, else every pair.
+    """
+    cut = blocks(budget)
+    choices = list(combinations(range(len(cut)), 2))
+    columns = ["fp", "node", "seed", "label", "low", "high", "weight"]
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, fp, node in whole_buckets(batches):
-            a, b, bits = walked(bucket, fp, node, cut, choices, budget)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a), pa.array(b), pa.array(bits)], ["a", "b", "bits"])
+        for rows in whole_buckets(batches, ("bucket", *columns)):
+            rest, roots, depth, order = laid_out(rows[0], rows[1], cut, choices, rows[4])
+            bucket, fp, node, _, label, low, high, weight = (x[order] for x in rows)
+            heavy = np.full(len(node), -1)
+            own = (bucket >> 40) % len(choices)
+            rank = np.empty(len(node), np.int64)  # heaviest first, then the smallest node
+            rank[np.lexsort((-node, weight))] = np.arange(len(node))
+            by_rank = np.argsort(rank)
+            for i, j, _ in close_pairs(rest, roots, depth, budget, label):
+                some = ((label[i] != label[j]) & (high[i] >= least * low[j]) & (high[j] >= least * low[i]))
+                i, j = i[some], j[some]
+                if leading:
+                    np.maximum.at(heavy, i, rank[j])
+                    np.maximum.at(heavy, j, rank[i])
+                    continue
+                once = first_choice(fp[i] ^ fp[j], cut, choices) == own[i]
+                yield pair_batch(node[i[once]], node[j[once]])
+            if leading:
+                has = np.flatnonzero(heavy >= 0)
+                yield pair_batch(node[has], node[by_rank[heavy[has]]])
 
-    dealt = nodes.select("fp", "node").mapInArrow(spread, "bucket bigint, fp bigint, node bigint")
-    return (dealt.repartition(partitions(nodes.sparkSession), "bucket")
-            .sortWithinPartitions("bucket")
-            .mapInArrow(walk, "a bigint, b bigint, bits int")
-            .groupBy("a", "b").agg(F.min("bits").alias("bits")))
+    return dealt(nodes, cut, choices, columns).mapInArrow(walk, "a bigint, b bigint").distinct()
+
+
+def pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
+def first_choice(differ: np.ndarray, cut: list, choices: list) -> np.ndarray:
+    """The first choice of blocks in which pairs with these differing bits agree."""
+    differ = differ.view(np.uint64)
+    agree = [(reordered(differ, [block]) == 0) for block in cut]
+    out = np.full(len(differ), -1)
+    for c in range(len(choices) - 1, -1, -1):
+        i, j = choices[c]
+        out[agree[i] & agree[j]] = c
+    return out
 
 
-def whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+def whole_buckets(batches: Iterator[pa.RecordBatch], columns: tuple) -> Iterator[tuple[np.ndarray, ...]]:
     """Gather batches and cut them where a bucket ends."""
     held: list[tuple[np.ndarray, ...]] = []
     size = 0
     for batch in batches:
-        held.append(tuple(batch.column(c).to_numpy() for c in ("bucket", "fp", "node")))
+        held.append(tuple(batch.column(c).to_numpy() for c in columns))
         size += batch.num_rows
         if size >= ROWS:
             rows = tuple(np.concatenate(x) for x in zip(*held))
@@ -103,28 +167,40 @@ def whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarra
 def walked(bucket: np.ndarray, fp: np.ndarray, node: np.ndarray, cut: list, choices: list,
            budget: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ties among the fingerprints of whole buckets."""
+    rest, roots, depth, order = laid_out(bucket, fp, cut, choices)
+    ties = Ties(len(node))
+    for i, j, bits in close_pairs(rest, roots, depth, budget):
+        ties.add(i, j, bits)
+    return ties.rows(node[order])
+
+
+def laid_out(bucket: np.ndarray, fp: np.ndarray, cut: list, choices: list,
+             label: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, int, np.ndarray]:
+    """The tries of whole buckets: their sorted values, roots and depth, and the order of the rows."""
     rest = np.zeros(len(fp), np.uint64)
     depth = 0
     for c in np.unique(bucket >> 40).tolist():
         own = (bucket >> 40) == c
-        left = [cut[k] for k in range(len(cut)) if k not in choices[c]]
+        left = [cut[k] for k in range(len(cut)) if k not in choices[c % len(choices)]]
         rest[own] = reordered(fp[own].view(np.uint64), left)
         depth = max(depth, sum(w for _, w in left))
-    order = np.lexsort((rest, bucket))
-    bucket, rest, node = bucket[order], rest[order], node[order]
+    order = np.lexsort((rest, bucket) if label is None else (label, rest, bucket))
+    bucket, rest = bucket[order], rest[order]
     starts = np.flatnonzero(np.concatenate([[True], np.diff(bucket) != 0]))
     ends = np.concatenate([starts[1:], [len(bucket)]])
     big = ends - starts > 1
-    roots = np.stack([starts[big], ends[big], starts[big], ends[big], np.zeros(big.sum(), np.int64)])
-    ties = Ties(len(node))
-    for i, j, bits in close_pairs(rest, roots, depth, budget):
-        ties.add(i, j, bits)
-    return ties.rows(node)
+    return rest, np.stack([starts[big], ends[big], starts[big], ends[big], np.zeros(big.sum(), np.int64)]), depth, order
 
 
-def close_pairs(rest: np.ndarray, roots: np.ndarray, depth: int, budget: int):
-    """Index pairs within the budget. A pair of nodes is a column: two ranges and the bits so far."""
+def close_pairs(rest: np.ndarray, roots: np.ndarray, depth: int, budget: int,
+                label: np.ndarray | None = None):
+    """Index pairs within the budget. A pair of nodes is a column: two ranges and the bits so far.
+
+    With labels, pairs of nodes under one and the same label are left out.
+    """
     zeros: dict[int, np.ndarray] = {}
+    if label is not None:
+        run = np.concatenate([[0], np.cumsum(label[1:] != label[:-1])])
     todo = [(0, roots)]
     while todo:
         level, pairs = todo.pop()
@@ -132,21 +208,26 @@ def close_pairs(rest: np.ndarray, roots: np.ndarray, depth: int, budget: int):
             half = pairs.shape[1] // 2
             todo += [(level, pairs[:, :half]), (level, pairs[:, half:])]
             continue
+        if label is not None:
+            u0, u2, v0, v2, _ = pairs
+            pairs = pairs[:, (run[u0] != run[u2 - 1]) | (run[v0] != run[v2 - 1]) | (label[u0] != label[v0])]
         size = (pairs[1] - pairs[0]) * (pairs[3] - pairs[2])
-        done = (size <= SMALL) | (level >= depth)
+        done = (size <= SMALL) | (level >= depth if label is None else False)
         if done.any():
             yield from compared(rest, pairs[:4, done], budget)
         pairs = pairs[:, ~done]
         if not pairs.shape[1]:
             continue
-        if level not in zeros:
+        if level < depth and level not in zeros:
             bit = (rest >> np.uint64(63 - level)) & np.uint64(1)
             zeros[level] = np.concatenate([[0], np.cumsum(bit == 0)])
-        z = zeros[level]
         u0, u2, v0, v2, bits = pairs
-        u1, v1 = u0 + z[u2] - z[u0], v0 + z[v2] - z[v0]
+        if level < depth:
+            z = zeros[level]
+            u1, v1, more = u0 + z[u2] - z[u0], v0 + z[v2] - z[v0], bits + 1
+        else:  # equal values, in the order of their labels
+            u1, v1, more = (u0 + u2) // 2, (v0 + v2) // 2, bits
         same = u0 == v0  # a node with itself: its crossed children come once
-        more = bits + 1
         children = [np.stack([u0, u1, v0, v1, bits]), np.stack([u1, u2, v1, v2, bits]),
                     np.stack([u0, u1, v1, v2, more]), np.stack([u1, u2, v0, v1, more])[:, ~same]]
         children = np.concatenate(children, 1)

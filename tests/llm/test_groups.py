@@ -118,6 +118,54 @@ def test_near_copies_are_found_and_others_left(make_docs):
     assert kept == sorted({d for d, _ in rows} - set(copies))
 
 
+def test_family_of_edited_copies_against_brute_force(make_docs):
+    """Variants like their base but not like each other: ties among variants must not hide the base."""
+    rng = random.Random(3)
+    base, rows = text_of(rng, 300), []
+    for i in range(1001):
+        own = list(base)
+        for p in rng.sample(range(10, 290), 6) if i else ():
+            own[p] = f"edit{i}x{p}"
+        rows.append((i, " ".join(own)))
+    docs = make_docs(rows)
+    fps = np.array([r["fps"] for r in simhash.sketched(docs).orderBy("doc_id").collect()]).view(np.uint64)
+    sets = [{tuple(t.split()[k:k + 5]) for k in range(296)} for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for i in range(len(rows)):
+        for j in np.flatnonzero((np.bitwise_count(fps[i + 1:] ^ fps[i]) <= 4).any(1)) + i + 1:
+            a, b = find(i), find(int(j))
+            if a != b and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root[max(a, b)] = min(a, b)
+    want = [i for i in range(len(rows)) if find(i) == i]
+    assert len(want) < 100
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs).collect()) == want
+
+
+def test_pairs_apart_are_all_pairs_between_labels(spark, monkeypatch):
+    """Also of equal values, whatever the limits of the walk."""
+    monkeypatch.setattr(trie_join, "WALK", 1 << 9)
+    monkeypatch.setattr(trie_join, "ROWS", 100)
+    rng = random.Random(9)
+    bases = [rng.getrandbits(63) for _ in range(3)]
+    rows = [(i, rng.choice(bases) ^ sum(1 << b for b in rng.sample(range(63), rng.randrange(4))),
+             i % 2, rng.randrange(4), 10, 10, rng.randrange(3)) for i in range(300)]
+    rows += [(300 + i, bases[0], 0, i % 3, 10 + i % 5, 10 + i % 5, 0) for i in range(90)]
+    want = {(x[0], y[0]) for x in rows for y in rows
+            if x[0] < y[0] and x[2] == y[2] and x[3] != y[3] and (x[1] ^ y[1]).bit_count() <= 4
+            and min(x[4], y[4]) >= 0.8 * max(x[4], y[4])}
+    nodes = spark.createDataFrame(rows, ", ".join(
+        f"{c} bigint" for c in ("node", "fp", "seed", "label", "low", "high", "weight")))
+    assert {tuple(r) for r in trie_join.apart(nodes, 4, 0.8, False).collect()} == want
+    some = {tuple(r) for r in trie_join.apart(nodes, 4, 0.8, True).collect()}
+    assert some <= want and {n for p in some for n in p} == {n for p in want for n in p}
+
+
 def test_near_duplicates_of_awkward_rows(awkward, nothing):
     kept = simhash.keep_one(awkward)
     assert kept.columns == awkward.columns
