@@ -61,8 +61,9 @@ def chunked(docs: DataFrame) -> DataFrame:
         press = zstandard.ZstdCompressor(level=9)
         number = TaskContext.get().partitionId() << 32
         for batch in regrouped(batches):
-            order = batch.column("doc_id").to_pandas().argsort(kind="stable").to_numpy()
-            batch = batch.take(pa.array(np.where(order < 0, np.arange(len(order)), order)))
+            keyed = pa.table([batch.column("doc_id"), pa.array(np.arange(batch.num_rows))], ["doc_id", "row"])
+            batch = batch.take(pc.sort_indices(keyed, sort_keys=[
+                ("doc_id", "ascending"), ("row", "ascending")], null_placement="at_end"))
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([number]), pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),

@@ -158,6 +158,16 @@ def test_substrings_of_awkward_rows(awkward):
     assert sorted(r["n_removed"] for r in by[5])[-1] == by[5][0]["n_bytes"]  # the repeated row
 
 
+def test_null_ids_before_named_rows_lose_nothing(make_docs):
+    """Also identifiers that are equal as floats."""
+    text = "".join(np.random.default_rng(8).choice(list("abcdefgh "), 300))
+    rows = [(None, "null " + text), (2**53 + 1, text), (None, None), (5, "five"), (2**53, text), (3, "three")]
+    got = suffix_dedup.dedup_substrings(make_docs(rows).coalesce(1)).collect()
+    assert collections.Counter((r["doc_id"], r["n_bytes"]) for r in got) == collections.Counter(
+        (d, len(t or "")) for d, t in rows)
+    assert {r["doc_id"]: r["n_removed"] for r in got if r["doc_id"]} == {3: 0, 5: 0, 2**53: 0, 2**53 + 1: 300}
+
+
 def test_substrings_of_nothing(nothing):
     assert suffix_dedup.dedup_substrings(nothing).count() == 0
 
