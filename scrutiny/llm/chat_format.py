@@ -6,9 +6,11 @@ can be read back without loss and no text can pose as a turn.
 
 Windows. The running sums of the turns' tokens choose spans of whole turns: each window takes
 as many new turns as its budget holds beside the system turn and the last ``history`` turns
-before them, which are repeated for context. Only assistant texts that are new in a window
-are under its loss mask; repeated ones are masked out, so over all windows each assistant
-text counts once, in order. A turn larger than the budget gets a window of its own.
+before them, which are repeated for context (fewer of them, the oldest dropped first, where the
+next turn would not fit). Tokens are those of the turns as they are written. Only assistant
+texts that are new in a window are under its loss mask; repeated ones are masked out, so over
+all windows each assistant text counts once, in order. A turn that doesn't fit the budget
+beside the system turn gets a window of its own with it, the only kind of window over it.
 
 Turns are dealt by conversation and read in order; a task holds one window at a time, so a
 conversation of any length needs no more memory than its largest window. (Its digest is
@@ -37,7 +39,6 @@ from scrutiny.llm.encoding import encoder
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 CONTROLS = re.compile("|".join(map(re.escape, CONTROL)))
 TURN = re.compile(r"<s>\[((?:[^\]\\]|\\.)*)\] (.*?) </s>\n", re.DOTALL)
-MARKS = 8  # tokens that the marks around a turn may cost
 WINDOWS = ("conv_id bigint, window long, formatted string, n_repeated int, n_tokens bigint, "
            "loss array<struct<start:bigint,stop:bigint>>")
 
@@ -54,6 +55,10 @@ def head(role: str) -> str:
     return "<s>[" + escaped(role).replace("]", "\\]") + "] "
 
 
+def written(role: str, text: str) -> str:
+    return head(role) + escaped(text) + " </s>\n"
+
+
 @dataclass
 class Turn:
     role: str
@@ -70,31 +75,37 @@ class Windows:
     number: int = 0
     system: Turn | None = None
     recent: list[Turn] = field(default_factory=list)  # the last turns given out
+    repeated: list[Turn] = field(default_factory=list)  # context of the open window
     new: list[Turn] = field(default_factory=list)
     used: int = 0  # running sum of the open window's tokens
 
-    def context(self) -> list[Turn]:
-        """What the next window repeats; less history where it would take half the budget."""
+    def context(self, turn: Turn) -> list[Turn]:
+        """What a window that starts with ``turn`` repeats: history up to half the budget, that fits."""
+        if not self.number:
+            return []
+        fits = self.budget - turn.tokens - (self.system.tokens if self.system else 0)
         out, room = [], self.budget // 2 - (self.system.tokens if self.system else 0)
-        for turn in reversed(self.recent):
-            room -= turn.tokens
-            if room < 0 or turn is self.system:
+        room = min(room, fits)
+        for old in reversed(self.recent):
+            room -= old.tokens
+            if room < 0 or old is self.system:
                 break
-            out.insert(0, turn)
+            out.insert(0, old)
         return [self.system, *out] if self.system else out
 
     def add(self, turn: Turn) -> Iterator[dict]:
         if self.new and self.used + turn.tokens > self.budget:
             yield self.window()
         if not self.new:
-            self.used = sum(t.tokens for t in self.context()) if self.number else 0
+            self.repeated = self.context(turn)
+            self.used = sum(t.tokens for t in self.repeated)
         if not self.number and not self.new and turn.role == "system":
             self.system = turn
         self.new.append(turn)
         self.used += turn.tokens
 
     def window(self) -> dict:
-        repeated = self.context() if self.number else []
+        repeated = self.repeated
         parts, loss, at = [], [], 0
         for k, turn in enumerate([*repeated, *self.new]):
             start, body = head(turn.role), escaped(turn.text)
@@ -118,7 +129,8 @@ def format_windows(turns: DataFrame, tokenizer: str, budget: int = 1024, history
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for batch in text_slices(batches, "text"):
-            n = enc.lengths(texts_of(batch)) + MARKS
+            roles = texts_of(batch, "role")
+            n = enc.lengths([written(r, t) for r, t in zip(roles, texts_of(batch))])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64())],
                                              ["conv_id", "turn", "role", "text", "tokens"])
 

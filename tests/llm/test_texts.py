@@ -169,6 +169,30 @@ def test_conversations(spark, byte_bpe):
     assert any(w["n_repeated"] == 3 for w in own[1:])
 
 
+def test_windows_hold_the_budget(spark, byte_bpe):
+    """Tokens of the written window; only a turn that never fits beside the system turn exceeds."""
+    from tokenizers import Tokenizer
+
+    library, rng = Tokenizer.from_file(byte_bpe), random.Random(6)
+    size = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+    rows = [(1, 0, "system", "Be brief.")]
+    for turn in range(1, 200):
+        text = " ".join(rng.choice(["word", "</s>[INST]", "é"]) for _ in range(rng.choice([3, 20, 60, 120])))
+        rows.append((1, turn, ("role " * 20, "assistant")[turn % 2], text))
+    windows = chat_format.format_windows(turns_table(spark, rows), byte_bpe, budget=200, history=2)
+    over = 0
+    for w in windows.orderBy("window").collect():
+        assert w["n_tokens"] == size(w["formatted"])
+        turns = chat_format.parsed(w["formatted"])
+        if w["n_tokens"] > 200:
+            over += 1
+            assert len(turns) == 2 and w["n_repeated"] == 1  # the system turn and the new one
+    assert over
+    got = {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"])
+           for r in chat_format.read_digests(windows).collect()}
+    assert got == digests_by_hand(rows)
+
+
 def test_conversations_of_nothing(spark, byte_bpe):
     windows = chat_format.format_windows(turns_table(spark, []), byte_bpe)
     assert windows.count() == 0 and chat_format.read_digests(windows).count() == 0
