@@ -9,7 +9,7 @@ from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scrutiny.session import scratch_path
@@ -63,5 +63,20 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return pc.fill_null(batch.column(column), "").to_pylist()
 
 
+def top_rows(frame: DataFrame, keys: list[str], order: list[Column], most: int,
+             salts: int = 64) -> DataFrame:
+    """The first ``most`` rows of each group with their ``rank``.
+
+    Groups are cut down in parts first (and in each task before that), so a group of any size
+    reaches one task as ``salts`` times ``most`` rows at most.
+    """
+    part = Window.partitionBy(*keys, F.col("_salt")).orderBy(*order)
+    whole = Window.partitionBy(*keys).orderBy(*order)
+    salted = frame.withColumn("_salt", F.pmod(F.xxhash64(*frame.columns), F.lit(salts)))
+    fewer = salted.withColumn("_rank", F.row_number().over(part)).where(F.col("_rank") <= most)
+    return (fewer.drop("_salt", "_rank").withColumn("rank", F.row_number().over(whole))
+            .where(F.col("rank") <= most))
+
+
 def utf8_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint")

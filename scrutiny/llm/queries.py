@@ -122,3 +122,12 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = chat_format.format_windows(
         turns.unionByName(chat_format.probe(spark)), tokenizer("byte_bpe_50k.json"), budget=1024)
     return chat_format.read_digests(stored(windows, "chat-windows"))
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of two and three words of each language, over all documents."""
+    from scrutiny.llm.collocations import mine
+
+    found = mine(table(spark, sf_dir, "documents"), least=10, covered=50, top=2000)
+    return found.withColumn("rank", F.col("rank").cast("bigint"))

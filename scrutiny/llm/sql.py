@@ -22,3 +22,50 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+ORACLES["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\n\x0B\f\r]')) AS piece
+  FROM documents
+), listed AS (
+  SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces
+), singles AS (
+  SELECT lang, unnest(w) AS p FROM listed
+), ones AS (
+  SELECT lang, p, count(*) AS f FROM singles GROUP BY ALL
+), twos AS (
+  SELECT lang, a, b, count(*) AS f FROM (
+    SELECT lang, unnest(w[:-2]) AS a, unnest(w[2:]) AS b FROM listed WHERE len(w) >= 2) GROUP BY ALL
+), threes AS (
+  SELECT lang, a, b, c, count(*) AS f FROM (
+    SELECT lang, unnest(w[:-3]) AS a, unnest(w[2:-2]) AS b, unnest(w[3:]) AS c
+    FROM listed WHERE len(w) >= 3) GROUP BY ALL HAVING count(*) >= 10
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM ones GROUP BY lang
+), cuts AS (
+  SELECT t.lang, t.a || ' ' || t.b AS phrase, t.f AS a, x.f AS l, y.f AS r, 1 AS k
+  FROM twos t JOIN ones x ON x.lang = t.lang AND x.p = t.a JOIN ones y ON y.lang = t.lang AND y.p = t.b
+  WHERE t.f >= 10 AND NOT EXISTS (
+    SELECT 1 FROM threes s WHERE s.lang = t.lang AND 100 * s.f >= 50 * t.f
+      AND ((s.a = t.a AND s.b = t.b) OR (s.b = t.a AND s.c = t.b)))
+  UNION ALL
+  SELECT t.lang, concat_ws(' ', t.a, t.b, t.c), t.f, x.f, y.f, 1
+  FROM threes t JOIN ones x ON x.lang = t.lang AND x.p = t.a
+  JOIN twos y ON y.lang = t.lang AND y.a = t.b AND y.b = t.c
+  UNION ALL
+  SELECT t.lang, concat_ws(' ', t.a, t.b, t.c), t.f, x.f, y.f, 2
+  FROM threes t JOIN twos x ON x.lang = t.lang AND x.a = t.a AND x.b = t.b
+  JOIN ones y ON y.lang = t.lang AND y.p = t.c
+), scored AS (
+  SELECT *, (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score FROM cuts
+), least AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM scored
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+         phrase, a, l, r, n, score
+  FROM least JOIN totals USING (lang) WHERE nth = 1
+)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
