@@ -131,3 +131,19 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = mine(table(spark, sf_dir, "documents"), least=10, covered=50, top=2000)
     return found.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, compared with an edited text and the next document."""
+    from scrutiny.llm.fuzzy_hash import edited_neighbours
+
+    return edited_neighbours(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word use of every source against the other sources and its language, over all documents."""
+    from scrutiny.llm.divergence import audit
+
+    return audit(table(spark, sf_dir, "documents"), min_docs=3, smooth=1, top=200)

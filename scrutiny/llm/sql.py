@@ -69,3 +69,47 @@ WITH pieces AS (
 )
 SELECT * FROM ranked WHERE rank <= 2000
 """
+
+ORACLES["op11_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), words AS (
+  SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS c FROM words GROUP BY lang, term HAVING count(DISTINCT id) >= 3
+), own AS (
+  SELECT lang, source, term, count(*) AS c FROM words JOIN kept USING (lang, term) GROUP BY ALL
+), sizes AS (
+  SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang
+), groups AS (
+  SELECT DISTINCT d.lang, d.source FROM docs d
+), totals AS (
+  SELECT g.lang, g.source, coalesce(sum(o.c), 0) AS n FROM groups g LEFT JOIN own o USING (lang, source)
+  GROUP BY ALL
+), p AS (
+  SELECT t.lang, t.source, k.term, coalesce(o.c, 0) AS c,
+         1 + (1000000000::HUGEINT * (coalesce(o.c, 0) + 1)) // (t.n + s.v) AS p
+  FROM totals t JOIN sizes s USING (lang) JOIN kept k USING (lang)
+  LEFT JOIN own o ON o.lang = t.lang AND o.source = t.source AND o.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+), q AS (
+  SELECT k.lang, k.term, 1 + (1000000000::HUGEINT * (k.c + 1)) // (s.n + s.v) AS q
+  FROM kept k JOIN sizes s USING (lang)
+), term AS (
+  SELECT p.lang, p.source, 'term' AS part, p.term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value
+  FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+  FROM (SELECT * FROM pair UNION ALL SELECT * FROM term)
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
