@@ -33,8 +33,8 @@ from scrutiny.llm.words import cut, kinds, numbered
 
 KINDS = kinds(gap=b" \t", stop=b".,;:!?\n\v\f\r")
 #: Text bytes behind one automaton of a shard; and behind one range, at least.
-SHARD_BYTES = 12 << 20
-RANGE_BYTES = 16 << 20
+SHARD_BYTES = 6 << 20
+RANGE_BYTES = 8 << 20
 #: Documents looked at for the splitters, for each range; every so many-th sequence is a sample.
 SAMPLE_DOCS, SAMPLE_STEP = 60, 64
 DEPTH = 4  # the language and up to three words
