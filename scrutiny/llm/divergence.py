@@ -33,14 +33,14 @@ from pyspark.sql import functions as F
 from scrutiny.llm import automata, k2tree
 from scrutiny.llm.automata import Layers, grown
 from scrutiny.llm.blobs import packed, unpacked
-from scrutiny.llm.common import partitions, stored, text_slices, top_rows
+from scrutiny.llm.common import stored, text_slices, top_rows
 from scrutiny.llm.encoding import slots
 from scrutiny.llm.words import GAP, WORD, cut, numbered
 
 KINDS = np.full(256, GAP, np.uint8)
 KINDS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = WORD
-SHARD_BYTES = 12 << 20
-BLOCK_BYTES = 16 << 20  # of text behind a block of terms, at least
+SHARD_BYTES = 6 << 20
+BLOCK_BYTES = 8 << 20  # of text behind a block of terms
 TILE = 64  # sources of a language in one tile, about
 SCALE = 10**9
 
@@ -52,7 +52,7 @@ def audit(docs: DataFrame, min_docs: int = 3, smooth: int = 1, top: int = 200) -
     groups = stored(rows.select("lang", "source").distinct(), "divergence-groups")
     size = rows.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     most = groups.groupBy("lang").count().agg(F.max("count").alias("n")).first()["n"] or 1
-    blocks = max(partitions(docs.sparkSession), math.ceil(size / BLOCK_BYTES))
+    blocks = max(1, math.ceil(size / BLOCK_BYTES))
     n_tiles = math.ceil(most / TILE)
 
     shards = rows.mapInArrow(_shards(blocks), "block int, blob binary")
@@ -66,7 +66,7 @@ def audit(docs: DataFrame, min_docs: int = 3, smooth: int = 1, top: int = 200) -
                     "divergence-tiles")
 
     values = "lang string, source string, item string, value bigint"
-    term = top_rows(framed.where("cells IS NOT NULL").mapInArrow(_terms(smooth), values),
+    term = top_rows(framed.where("cells IS NOT NULL").mapInArrow(_terms(smooth, top), values),
                     ["lang", "source"], [F.desc("value"), F.asc("item")], top)
     left = framed.drop("terms")
     right = left.select("lang", "block", *(F.col(c).alias(f"{c}_b") for c in ("tile", "members", "cells")))
@@ -247,8 +247,8 @@ def _single_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(k, 1).to_pylist()[0]
 
 
-def _terms(smooth: int):
-    """Terms that a source uses more than its language, of one block and tile."""
+def _terms(smooth: int, top: int):
+    """Terms that a source uses more than its language: the ``top`` of one block and tile."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in _single_rows(batches):
@@ -258,9 +258,15 @@ def _terms(smooth: int):
             p = shares(n, (total + smooth * r["n_kept"])[row], smooth)
             q = shares(of_lang, np.int64(r["lang_total"] + smooth * r["n_kept"]), smooth)[column]
             more = np.flatnonzero(p > q)
+            value = gaps(p[more], q[more])
+            order = np.lexsort((column[more], -value, row[more]))  # columns are in byte order
+            more, value = more[order], value[order]
+            first = np.searchsorted(row[more], row[more])
+            best = np.arange(len(more)) - first < top
+            more, value = more[best], value[best]
             item = words.take(pa.array(column[more])).cast(pa.string()).to_pylist()
             yield _values([(r["lang"], [names[k] for k in row[more].tolist()], item,
-                            gaps(p[more], q[more]))])
+                            value)])
 
     return compute
 

@@ -16,7 +16,7 @@ from typing import NamedTuple
 import numpy as np
 
 #: Pairs of cells looked at together.
-CELLS = 1 << 20
+CELLS = 1 << 18
 
 
 class Tree(NamedTuple):
