@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrutiny.llm.common import stored, text_slices, texts_of
+from scrutiny.llm.common import stored, text_slices
 from scrutiny.llm.encoding import encoder, slots
 from scrutiny.llm.token_output import list_array, run_crcs, with_end
 
@@ -97,7 +97,7 @@ def _encoded(docs: DataFrame, tokenizer: str, end_id: int, width: str) -> DataFr
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for batch in text_slices(batches, "text", 2 << 20):
-            flat, sizes = with_end(*enc.ids(texts_of(batch)), end_id)
+            flat, sizes = with_end(*enc.ids(batch.column("text")), end_id)
             offsets = np.concatenate([[0], np.cumsum(sizes)]) * int(width[2])
             ids = pa.BinaryArray.from_buffers(
                 pa.binary(), len(sizes),

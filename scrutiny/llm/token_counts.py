@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrutiny.llm.common import text_slices, texts_of
+from scrutiny.llm.common import text_slices
 from scrutiny.llm.encoding import encoder
 
 
@@ -28,7 +28,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 512, key: str = "
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for batch in text_slices(batches, "text"):
-            n = pa.array(enc.lengths(texts_of(batch)), pa.int64())
+            n = pa.array(enc.lengths(batch.column("text")), pa.int64())
             n_bytes = pc.fill_null(pc.binary_length(batch.column("text")), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), n_bytes, n, pc.greater(n, limit)],

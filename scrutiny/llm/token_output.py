@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scrutiny.llm.common import text_slices, texts_of
+from scrutiny.llm.common import text_slices
 from scrutiny.llm.encoding import encoder
 
 #: Parquet's own settings: row group, page, dictionary page and page rows.
@@ -52,7 +52,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, file_no, before = encoder(tokenizer), TaskContext.get().partitionId(), 0
         for batch in text_slices(batches, "text"):
-            flat, sizes = enc.ids(texts_of(batch))
+            flat, sizes = enc.ids(batch.column("text"))
             if end_id is not None:
                 flat, sizes = with_end(flat, sizes, end_id)
             ends = np.cumsum(sizes)
