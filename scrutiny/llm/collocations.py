@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from scrutiny.llm import automata
 from scrutiny.llm.automata import Layers
-from scrutiny.llm.common import partitions, stored, text_slices, top_rows
+from scrutiny.llm.common import give_back, partitions, stored, text_slices, top_rows
 from scrutiny.llm.words import cut, kinds, numbered
 
 KINDS = kinds(gap=b" \t", stop=b".,;:!?\n\v\f\r")
@@ -82,9 +82,12 @@ def _layers(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Layers]:
         n_pieces += int(own.piece[-1]) + 1 if len(own.piece) else 0
         held += pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
         if held >= limit:
-            yield made()
+            whole = made()
             words, langs, row, piece = [], [], [], []
             n_rows = n_pieces = held = 0
+            yield whole
+            del whole
+            give_back()
     if n_rows:
         yield made()
 
@@ -94,6 +97,8 @@ def _shards(splitters: list[tuple[bytes, ...]]):
         for layers in _layers(batches, SHARD_BYTES):
             yield _rows([(to, automata.folded(part)) for to, part in _pieces(layers, splitters)],
                         ["to", "blob"])
+            del layers
+            give_back()
 
     return build
 
@@ -152,6 +157,8 @@ def _united(splitters: list[tuple[bytes, ...]], least: int):
         out = [(to, to, "counts", automata.folded(whole))]
         for target, part in _pieces(_parts(whole), splitters):
             out.append((target, to, "parts", automata.folded(part)))
+        del whole
+        give_back()
         return pa.Table.from_batches([_rows(out, ["to", "source", "kind", "blob"])])
 
     return unite

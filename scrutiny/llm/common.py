@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
@@ -43,6 +44,15 @@ def held(key: tuple, make: Callable[[], Any]) -> Any:
     return kept[key]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker that keeps its largest working set for ever
+    takes it from the executor's other tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim:
+        trim(0)
+
+
 def text_slices(batches: Iterable[pa.RecordBatch], column: str,
                 limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about ``limit`` bytes of text, or one longer row."""
