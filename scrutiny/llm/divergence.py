@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from scrutiny.llm import automata, k2tree
 from scrutiny.llm.automata import Layers, grown
 from scrutiny.llm.blobs import packed, unpacked
-from scrutiny.llm.common import stored, text_slices, top_rows
+from scrutiny.llm.common import give_back, stored, text_slices, top_rows
 from scrutiny.llm.encoding import slots
 from scrutiny.llm.words import GAP, WORD, cut, numbered
 
@@ -133,8 +133,10 @@ def _shards(blocks: int):
                 yield from made(words, langs, sources, row)
                 words, langs, sources, row = [], [], [], []
                 n_rows = held = 0
+                give_back()
         if n_rows:
             yield from made(words, langs, sources, row)
+            give_back()
 
     return build
 
