@@ -3,9 +3,11 @@
 A rolling hash over the last eight bytes decides where a chunk ends: at block level ``k`` where
 it ends in ``k`` zero bits, so chunks have 2^k bytes on average and the ends of a level are
 among those of the level below. Each chunk's polynomial hash becomes one of 64 symbols. The
-level of a text is the lowest one with at most 64 chunks; its fingerprint is
-``level:symbols:symbols of the next level``. All bytes count at every level; an edit changes
-the symbols around it, and the ends fall into step again eight bytes later.
+level of a text is the lowest one with at most 64 chunks, or the one below if that leaves
+fewer than 16 (texts that repeat themselves have many ends of one level and none of the next);
+then the 64th symbol stands for all the rest. The fingerprint is ``level:symbols:symbols of the
+next level``. All bytes count at every level; an edit changes the symbols around it, and the
+ends fall into step again eight bytes later.
 
 Two fingerprints are compatible if a level is in both. Their likeness is 1 - d / m at the best
 common level, d the edit distance of the symbols and m the longer length, or 0 if the symbols
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from scrutiny.llm.common import stored, text_slices, texts_of
 
-MOST = 64  # symbols of a level
+MOST, FEW = 64, 16  # symbols of a level
 RUN = 7
 BLOCK = 1 << 20  # bytes hashed at once
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
@@ -84,7 +86,9 @@ def fingerprint(text: bytes) -> str:
     for _, _, level in blocks or _blocks(data):
         tally += np.bincount(level, minlength=33)
     tally[level[-1]] -= 1  # after the last byte a chunk ends anyway
-    k = int(np.argmax(np.append(np.cumsum(tally[::-1])[::-1], 0) < MOST))
+    chunks = np.append(np.cumsum(tally[::-1])[::-1], 0) + 1
+    k = int(np.argmax(chunks <= MOST))
+    k -= k > 0 and bool(chunks[k] < FEW)
     at, high, sums, carry = [], [], [], np.uint64(0)
     for start, part, level in blocks or _blocks(data):
         total = np.cumsum((part.astype(np.uint64) + np.uint64(1)) * POWERS[:len(part)])
@@ -102,7 +106,9 @@ def fingerprint(text: bytes) -> str:
 
 
 def _symbols(at: np.ndarray, sums: np.ndarray) -> str:
-    """A symbol for each chunk from the running sums at the ends."""
+    """A symbol for each chunk from the running sums at the ends; the last has the rest."""
+    if len(at) > MOST:
+        at, sums = (np.append(x[:MOST - 1], x[-1:]) for x in (at, sums))
     start = np.concatenate([[0], at[:-1]])
     back = INVERSES[start % BLOCK]
     if start[-1] >= BLOCK:
