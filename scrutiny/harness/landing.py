@@ -184,7 +184,7 @@ _AGGREGATES = """SELECT CASE l_orderkey % 8 WHEN 0 THEN 'resumen_elecciones' WHE
 FROM {lineitem}"""
 
 
-@query("aggregate_tables", "S7 B13 P8", """
+_AGGREGATE_SUMS = """
 SELECT * FROM (SELECT CASE l_orderkey % 8 WHEN 0 THEN 'resumen_elecciones' WHEN 1 THEN 'mesa_totales'
     WHEN 2 THEN 'ultima_fecha' WHEN 3 THEN 'totales' WHEN 4 THEN 'totales_de'
     WHEN 5 THEN 'participantes' WHEN 6 THEN 'participantes_de' ELSE 'mapa_calor' END AS tabla,
@@ -193,24 +193,38 @@ SELECT * FROM (SELECT CASE l_orderkey % 8 WHEN 0 THEN 'resumen_elecciones' WHEN
     WHEN 5 THEN l_partkey + l_suppkey WHEN 6 THEN l_partkey + l_suppkey ELSE l_partkey END) AS BIGINT)
     AS suma, max(strftime(make_timestamp((@ms(l_shipdate) - 18000000) * 1000),
       '%Y-%m-%dT%H:%M:%S') || '-05:00') AS ultimo
-FROM {lineitem} WHERE l_linenumber <> 7 GROUP BY tabla) x""")
-def _(t):
+FROM {lineitem} WHERE l_linenumber <> 7 GROUP BY tabla) x"""
+
+
+_MEASURE = {"resumen_elecciones": "id", "mesa_totales": "mesasInstaladas",
+            "ultima_fecha": "fechaProceso", "totales": "totalActas", "totales_de": "totalActas",
+            "participantes": "totalVotosValidos", "participantes_de": "totalVotosValidos",
+            "mapa_calor": "actasContabilizadas"}
+
+
+def _aggregate_sums(found):
     from scrutiny.operators.unions import union_all
 
-    measure = {"resumen_elecciones": "id", "mesa_totales": "mesasInstaladas",
-               "ultima_fecha": "fechaProceso", "totales": "totalActas", "totales_de": "totalActas",
-               "participantes": "totalVotosValidos", "participantes_de": "totalVotosValidos",
-               "mapa_calor": "actasContabilizadas"}
-    landed = t.sql(_AGGREGATES)
-    found = documents.aggregate_tables(landed)
     return union_all([
-        df.agg(F.count(F.lit(1)).alias("filas"), F.sum(measure[name]).alias("suma"),
+        df.agg(F.count(F.lit(1)).alias("filas"), F.sum(_MEASURE[name]).alias("suma"),
                F.max("snapshot_lima_iso").alias("ultimo")).select(
             F.lit(name).alias("tabla"), "filas", "suma", "ultimo")
         for name, df in found.items()
     ])
 
 
+@query("aggregate_tables", "S7 B13 P8", _AGGREGATE_SUMS)
+def _(t):
+    return _aggregate_sums(documents.aggregate_tables(t.sql(_AGGREGATES)))
+
+
+@query("aggregates_from_one_parse", "S7 B13 P8", _AGGREGATE_SUMS)
+def _(t):
+    path = scratch_path(t.spark, "aggregates")
+    documents.stage_aggregates(t.sql(_AGGREGATES), path)
+    return _aggregate_sums(documents.staged_aggregate_tables(t.spark, path))
+
+
 @query("aggregate_parties_by_district", "S7 B13", """
 SELECT CAST(l_orderkey % 5 + 10 AS BIGINT) AS idEleccion, l_partkey % 27 + 1 AS idDistritoElectoral,
   codigo AS codigoAgrupacionPolitica, valor AS totalVotosValidos, @ms(l_shipdate) AS snapshot_ts_ms
@@ -342,6 +356,22 @@ def _(t):
                               .alias("k"))
 
 
+@query("embedded_json_strict", "S11 J15", """
+SELECT event_id, CASE WHEN event_id % 6 IN (1, 2, 3, 4) THEN NULL
+  ELSE json_extract_string(props, '$.k') END AS k FROM {events}""")
+def _(t):
+    good = F.concat(F.lit('{"props":{"pageProps":{"dispositivo":'), F.col("props"), F.lit("}}}"))
+    blob = (F.when(F.col("event_id") % 6 == 1, F.concat(good, F.lit(" trailing")))
+            .when(F.col("event_id") % 6 == 2, F.concat(good, F.lit(", 1")))
+            .when(F.col("event_id") % 6 == 3, F.concat(good, F.lit("}")))
+            .when(F.col("event_id") % 6 == 4, F.expr("substr(props, 1, 3)"))
+            .otherwise(F.concat(F.lit("  "), good, F.lit("\n"))))
+    html = F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">'), blob,
+                    F.lit("</script>"))
+    return t("events").select("event_id", F.get_json_object(pages.embedded_json(html), "$.k")
+                              .alias("k"))
+
+
 @query("catalogue_monitor", "B16 J13 F16 S9", f"""
 SELECT *, false AS matches FROM ({_ENTRIES}) e WHERE page_id % 2 = 1""")
 def _(t):
@@ -436,6 +466,30 @@ def _(t):
     return tables.read_table(t.spark, out)
 
 
+@query("official_codes", "S5 B14", """
+SELECT lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS codigo,
+  'x' || printf('%.2f', (c_custkey % 1000) / 10.0) AS monto,
+  CAST(c_custkey AS VARCHAR) AS numero,
+  CAST(9007199254740993 + c_custkey AS VARCHAR) || CASE WHEN c_custkey % 2 = 0 THEN '.5' ELSE '' END
+    AS grande FROM {customer}""")
+def _(t):
+    rows = t("customer").select(
+        F.lpad(F.col("c_custkey").cast("string"), 6, "0").alias("codigo"),
+        F.format_string("%.2f", F.col("c_custkey") % 1000 / F.lit(10.0)).alias("monto"),
+        F.col("c_custkey").cast("string").alias("numero"),
+        F.concat((F.lit(9007199254740993) + F.col("c_custkey")).cast("string"),
+                 F.when(F.col("c_custkey") % 2 == 0, ".5").otherwise("")).alias("grande"))
+    path = scratch_path(t.spark, "codes")
+    sinks.write_csv(rows, path)
+    typed = files.read_official_csv(t.spark, path)
+    assert dict(typed.dtypes)["codigo"] == "string"
+    # Numbers are shown as they were written: the types lose nothing.
+    return typed.select(
+        "codigo", F.concat(F.lit("x"), F.col("monto").cast("string")).alias("monto"),
+        F.col("numero").cast("string").alias("numero"),
+        F.regexp_replace(F.col("grande").cast("string"), r"\.0$", "").alias("grande"))
+
+
 @query("official_resources", "B14", """
 SELECT 'customer' AS resource, count(*) AS rows FROM {customer}
 UNION ALL SELECT 'documents', count(*) FROM {documents}

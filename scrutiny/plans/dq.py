@@ -37,6 +37,7 @@ from scrutiny.operators.contract_checks import require_columns
 from scrutiny.operators.ranking import share_of_all, top
 from scrutiny.operators.unions import union_all
 from scrutiny.operators.versions import last_record, last_snapshot
+from scrutiny.session import scratch_path
 
 
 
@@ -112,19 +113,74 @@ def votes_per_acta(votes: DataFrame) -> DataFrame:
     )
 
 
+#: Which grouping set a row of ``acta_cube`` belongs to.
+_BY_ACTA, _BY_PARTY = "acta", "party"
+
+
+def acta_cube(votes: DataFrame) -> DataFrame:
+    """The votes added up by acta and by party in one pass: grouping sets over one scan.
+
+    Rows ``level = 'acta'`` are those of ``votes_per_acta``, rows ``'party'`` the party votes of
+    each election. Both sets are combined map-side before the one shuffle.
+    """
+    by_acta, by_party = ["idActa", "idEleccion"], ["idEleccion", "nagrupacionPolitica"]
+    keys = ["idActa", "idEleccion", "nagrupacionPolitica"]
+    return votes.groupingSets(
+        [[F.col(k) for k in by_acta], [F.col(k) for k in by_party]], *[F.col(k) for k in keys]
+    ).agg(
+        F.when(F.grouping("idActa") == 0, F.lit(_BY_ACTA)).otherwise(F.lit(_BY_PARTY)).alias("level"),
+        F.count(F.lit(1)).alias("n"),
+        total("nvotos").alias("sum_tot"),
+        total_where(~F.col("es_especial"), "nvotos").alias("sum_val"),
+        F.count_if(~F.col("es_especial")).alias("n_party"),
+    )
+
+
+def place_cube(votes: DataFrame, header: DataFrame) -> DataFrame:
+    """Party votes of actas that have a header, by election, place, electoral district and party.
+
+    One join with the header serves the district check and the reconciliation. ``weight`` is
+    1 for one header row of each acta, so that an acta with several rows counts once where
+    only its presence matters and once a row where its district does.
+    """
+    places = header.groupBy("idActa", "idDistritoElectoral").agg(F.count(F.lit(1)).alias("_rows"))
+    first = header.groupBy("idActa").agg(F.min(F.struct("idDistritoElectoral")).alias("_first"))
+    places = places.join(first, "idActa").select(
+        "idActa", "idDistritoElectoral", "_rows",
+        F.when(F.struct("idDistritoElectoral").eqNullSafe(F.col("_first")), 1).otherwise(0).alias("_once"))
+    return (
+        votes.filter(~F.col("es_especial")).join(places, "idActa")
+        .groupBy("idEleccion", "ubigeoDistrito", "idDistritoElectoral", "nagrupacionPolitica", "ccodigo")
+        .agg(F.sum(F.col("nvotos") * F.col("_rows")).alias("by_row"),
+             F.sum(F.col("nvotos") * F.col("_once")).alias("by_acta"))
+    )
+
+
+def _stored(cube: DataFrame, label: str) -> DataFrame:
+    """A cube written to the shared folder: checks prune it differently, so only a stored one is
+    computed once, and nothing stays in the executors' memory."""
+    path = scratch_path(cube.sparkSession, label)
+    cube.write.option("compression", "zstd").parquet(path)
+    return cube.sparkSession.read.schema(cube.schema).parquet(path)
+
+
 def detail_histogram(votes: DataFrame) -> DataFrame:
     """How many actas have how many detail rows."""
     per_acta = votes.groupBy("idActa", "idEleccion").agg(F.count(F.lit(1)).alias("n"))
     return per_acta.groupBy("n").agg(F.count(F.lit(1)).alias("actas")).orderBy("n")
 
 
-def votes_audit(votes: DataFrame, header: DataFrame) -> DataFrame:
-    """One row: detail rows per acta, and accounting identities on counted actas."""
+def votes_audit(votes: DataFrame, header: DataFrame, cube: DataFrame | None = None) -> DataFrame:
+    """One row: detail rows per acta, and accounting identities on counted actas.
+
+    ``cube`` may pass in an ``acta_cube`` that is shared by checks.
+    """
     counted = header.filter(F.col("codigoEstadoActa") == c.STATE_COUNTED).select(
         "idActa", "idEleccion", "totalVotosEmitidos", "totalVotosValidos",
         F.lit(True).alias("_counted"),
     )
-    joined = votes_per_acta(votes).join(counted, ["idActa", "idEleccion"], "left")
+    per_acta = votes_per_acta(votes) if cube is None else cube.filter(F.col("level") == _BY_ACTA)
+    joined = per_acta.join(counted, ["idActa", "idEleccion"], "left")
     return joined.agg(
         F.min("n").alias("min_rows"),
         F.max("n").alias("max_rows"),
@@ -169,10 +225,10 @@ def check_universe(header: DataFrame) -> DataFrame:
     ))
 
 
-def check_votes(votes: DataFrame, header: DataFrame) -> DataFrame:
+def check_votes(votes: DataFrame, header: DataFrame, cube: DataFrame | None = None) -> DataFrame:
     """Detail cardinality and accounting identities (exact, on counted actas)."""
     return _rows(
-        votes_audit(votes, header),
+        votes_audit(votes, header, cube),
         _check(1, "detail_rows_per_acta",
                (F.col("min_rows") == c.DETAIL_ROWS_PER_ACTA)
                & (F.col("max_rows") == c.DETAIL_ROWS_PER_ACTA),
@@ -321,18 +377,27 @@ def check_regions(header: DataFrame, heat_map: DataFrame,
     ))
 
 
-def check_parties(votes: DataFrame, parties: DataFrame) -> DataFrame:
-    """Every official presidential party found, and total drift within 0.5 %."""
+def check_parties(votes: DataFrame, parties: DataFrame,
+                  cube: DataFrame | None = None) -> DataFrame:
+    """Every official presidential party found, and total drift within 0.5 %.
+
+    ``cube`` may pass in an ``acta_cube``.
+    """
     presidential = F.col("idEleccion") == c.ELECTION_PRESIDENT
     official = last_snapshot(parties).filter(presidential).select(
         strict_number("codigoAgrupacionPolitica").alias("cod"),
         F.col("totalVotosValidos").alias("ofi_val"),
     )
-    counted = (
-        votes.filter(~F.col("es_especial") & presidential)
-        .groupBy(F.col("nagrupacionPolitica").alias("cod"))
-        .agg(total("nvotos").alias("cur_val"))
-    )
+    if cube is None:
+        counted = (
+            votes.filter(~F.col("es_especial") & presidential)
+            .groupBy(F.col("nagrupacionPolitica").alias("cod"))
+            .agg(total("nvotos").alias("cur_val"))
+        )
+    else:
+        counted = cube.filter(
+            (F.col("level") == _BY_PARTY) & presidential & (F.col("n_party") > 0)
+        ).select(F.col("nagrupacionPolitica").alias("cod"), F.col("sum_val").alias("cur_val"))
     one = official.join(counted, "cod", "left").agg(
         F.count(F.lit(1)).alias("official"),
         F.count("cur_val").alias("matched"),
@@ -382,9 +447,12 @@ def check_district_totals(header: DataFrame, district_totals: DataFrame,
     ))
 
 
-def party_drift_by_district(votes: DataFrame, header: DataFrame,
-                            district_parties: DataFrame) -> DataFrame:
-    """Per electoral district (deputies): official pairs, matched ones, relative drift."""
+def party_drift_by_district(votes: DataFrame, header: DataFrame, district_parties: DataFrame,
+                            cube: DataFrame | None = None) -> DataFrame:
+    """Per electoral district (deputies): official pairs, matched ones, relative drift.
+
+    ``cube`` may pass in a ``place_cube``.
+    """
     deputies = F.col("idEleccion") == c.ELECTION_DEPUTIES
     official = last_record(
         district_parties.filter(deputies).select(
@@ -394,13 +462,17 @@ def party_drift_by_district(votes: DataFrame, header: DataFrame,
         ),
         ["de", "cod"],
     )
-    counted = (
-        votes.filter(~F.col("es_especial") & deputies)
-        .join(header.select("idActa", "idDistritoElectoral"), "idActa", "inner")
-        .groupBy(F.col("idDistritoElectoral").alias("de"),
-                 F.col("nagrupacionPolitica").alias("cod"))
-        .agg(total("nvotos").alias("cur_val"))
-    )
+    if cube is None:
+        rows = (
+            votes.filter(~F.col("es_especial") & deputies)
+            .join(header.select("idActa", "idDistritoElectoral"), "idActa", "inner")
+            .withColumn("by_row", F.col("nvotos"))
+        )
+    else:
+        rows = cube.filter(deputies)
+    counted = rows.groupBy(
+        F.col("idDistritoElectoral").alias("de"), F.col("nagrupacionPolitica").alias("cod")
+    ).agg(total("by_row").alias("cur_val"))
     delta = F.abs(F.col("cur_val") - F.col("ofi_val"))
     matched = F.col("cur_val").isNotNull()
     return official.join(counted, ["de", "cod"], "left").groupBy("de").agg(
@@ -415,10 +487,10 @@ def party_drift_by_district(votes: DataFrame, header: DataFrame,
     )
 
 
-def check_district_parties(votes: DataFrame, header: DataFrame,
-                           district_parties: DataFrame) -> DataFrame:
+def check_district_parties(votes: DataFrame, header: DataFrame, district_parties: DataFrame,
+                           cube: DataFrame | None = None) -> DataFrame:
     """Deputies: all official (district, party) pairs found, drift within 5 %."""
-    one = party_drift_by_district(votes, header, district_parties).agg(
+    one = party_drift_by_district(votes, header, district_parties, cube).agg(
         total("official").alias("official"), total("matched").alias("matched"),
         F.coalesce(F.max("max_delta"), F.lit(0)).alias("max_delta"),
         (F.coalesce(F.max("ratio"), F.lit(0.0)) * F.lit(100.0)).alias("max_drift"),
@@ -444,30 +516,33 @@ def check_official_available(header: DataFrame, official: DataFrame | None) -> D
     ))
 
 
-def reconcile_with_official(votes: DataFrame, header: DataFrame,
-                            official: DataFrame) -> DataFrame:
+def reconcile_with_official(votes: DataFrame, header: DataFrame, official: DataFrame,
+                            cube: DataFrame | None = None) -> DataFrame:
     """Votes by election, district and party on both sides, and their difference.
 
     ``official`` has ``idEleccion, ubigeoDistrito, ccodigo, votos``. Places on one side
     only count as zero votes on the other.
     """
     keys = ["idEleccion", "ubigeoDistrito", "ccodigo"]
-    ours = votes.filter(~F.col("es_especial")).join(
-        header.select("idActa"), "idActa", "left_semi"
-    ).groupBy(*keys).agg(total("nvotos").alias("cur"))
+    if cube is None:
+        rows = votes.filter(~F.col("es_especial")).join(
+            header.select("idActa"), "idActa", "left_semi").withColumn("by_acta", F.col("nvotos"))
+    else:
+        rows = cube
+    ours = rows.groupBy(*keys).agg(total("by_acta").alias("cur"))
     theirs = official.groupBy(*keys).agg(total("votos").alias("ofi"))
     return ours.join(theirs, keys, "full_outer").select(
         *keys, F.coalesce("cur", F.lit(0)).alias("cur"), F.coalesce("ofi", F.lit(0)).alias("ofi")
     ).withColumn("delta", F.abs(F.col("cur") - F.col("ofi")))
 
 
-def check_reconciliation(votes: DataFrame, header: DataFrame,
-                         official: DataFrame | None) -> DataFrame:
+def check_reconciliation(votes: DataFrame, header: DataFrame, official: DataFrame | None,
+                         cube: DataFrame | None = None) -> DataFrame:
     """Every group within one vote; skipped while there is nothing to compare with."""
     if official is None:
         return _rows(header.sparkSession.range(1), _check(
             4, "reconciliation", F.lit(False), F.lit("no official data"), skipped=True))
-    one = reconcile_with_official(votes, header, official).agg(
+    one = reconcile_with_official(votes, header, official, cube).agg(
         F.count(F.lit(1)).alias("groups"),
         F.count_if(F.col("delta") > c.SUM_TOLERANCE).alias("beyond"),
         F.coalesce(F.max("delta"), F.lit(0)).alias("max_delta"),
@@ -484,16 +559,24 @@ def report(header: DataFrame, votes: DataFrame, aggregates: Mapping[str, DataFra
     """All checks of a level (0: all levels), with PASS, FAIL or SKIP.
 
     ``aggregates`` holds the official series by table name; without it, levels 2 and 3
-    run only what needs none.
+    run only what needs none. The votes are scanned twice at most, once for each cube; the
+    cubes are stored, and the checks read only those.
     """
     agg = aggregates or {}
-    # Small by construction (see header_cube) and read by up to six checks.
-    cube = header_cube(header).persist()
     levels = [n for n in (1, 2, 3, 4) if level in (0, n)]
+    # Small by construction (see header_cube) and read by up to six checks.
+    cube = _stored(header_cube(header), "dq-header")
+    acta = place = None
+    if 1 in levels or (2 in levels and "participantes" in agg):
+        acta = _stored(acta_cube(votes), "dq-actas")
+    if (3 in levels and "participantes_de" in agg) or (4 in levels and official is not None):
+        wide = header if "idDistritoElectoral" in header.columns else header.withColumn(
+            "idDistritoElectoral", F.lit(None).cast("bigint"))
+        place = _stored(place_cube(votes, wide), "dq-places")
 
     parts: list[DataFrame] = []
     if 1 in levels:
-        parts += [check_universe(header), check_votes(votes, header)]
+        parts += [check_universe(header), check_votes(votes, header, acta)]
     if 1 in levels or (2 in levels and "mesa_totales" in agg):
         parts.append(check_stations(header, agg.get("mesa_totales"), levels))
     if 1 in levels or 3 in levels:
@@ -505,15 +588,15 @@ def report(header: DataFrame, votes: DataFrame, aggregates: Mapping[str, DataFra
         if "mapa_calor" in agg:
             parts.append(check_regions(header, agg["mapa_calor"], cube))
         if "participantes" in agg:
-            parts.append(check_parties(votes, agg["participantes"]))
+            parts.append(check_parties(votes, agg["participantes"], acta))
     if 3 in levels:
         if "totales_de" in agg:
             parts.append(check_district_totals(header, agg["totales_de"], cube))
         if "participantes_de" in agg:
-            parts.append(check_district_parties(votes, header, agg["participantes_de"]))
+            parts.append(check_district_parties(votes, header, agg["participantes_de"], place))
     if 4 in levels:
         parts += [check_official_available(header, official),
-                  check_reconciliation(votes, header, official)]
+                  check_reconciliation(votes, header, official, place)]
     return union_all(parts).withColumn(
         "result",
         F.when(F.col("skipped"), F.lit("SKIP")).when(F.col("passed"), F.lit("PASS"))

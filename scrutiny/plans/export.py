@@ -11,6 +11,7 @@ from scrutiny import contracts as c
 from scrutiny.functions.aggregates import distinct_values, total
 from scrutiny.operators.filters import apply_selection
 from scrutiny.operators.unions import union_all
+from scrutiny.sinks.commits import current
 from scrutiny.sinks.tables import path_exists
 
 _CONTEXT = (
@@ -119,12 +120,28 @@ def assemble_release(spark: SparkSession, base: str, target: str) -> list[str]:
     for row in plan:
         if row["present"]:
             path = f"{target.rstrip('/')}/{row['target']}"
-            spark.read.parquet(f"{base.rstrip('/')}/{row['layer']}/{row['name']}").write.mode(
+            source = f"{base.rstrip('/')}/{row['layer']}/{row['name']}"
+            version = current(spark, source)
+            spark.read.parquet(f"{source}/{version['folder']}" if version else source).write.mode(
                 "overwrite").option("compression", "zstd").parquet(path)
             written.append(path)
     return written
 
 
+def release_contents(spark: SparkSession, base: str, target: str) -> DataFrame:
+    """Assemble the package and count what each released table holds: ``target, rows``.
+
+    A table is copied from one version: the one its pointer names, or its folder. There is a
+    constant number of tables; their rows are read and written by Spark.
+    """
+    tables = [
+        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(path.rsplit("/", 1)[-1]).alias("target"), "rows")
+        for path in assemble_release(spark, base, target)
+    ]
+    return union_all(tables)
+
+
 def checksum_manifest(manifest: DataFrame, own_name: str = "CHECKSUMS.txt") -> DataFrame:
     """Digest and relative path of every file but the manifest itself, by path."""
     name = F.substring_index("rel_path", "/", -1)

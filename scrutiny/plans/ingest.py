@@ -21,6 +21,8 @@ from scrutiny.operators.contract_checks import conform
 from scrutiny.operators.filters import in_states
 from scrutiny.operators.keys import first_tasks, in_shard, pending, station_tasks
 from scrutiny.operators.ranking import share_of_all
+from scrutiny.sinks.tables import write_run
+from scrutiny.sources.documents import stage_documents
 
 
 def _document_id() -> Column:
@@ -96,6 +98,22 @@ def flatten_documents(documents: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def ingest_run(landed: DataFrame, base: str, run_ts_ms: int, expected: int = 0) -> DataFrame:
+    """Landed documents of a run to the five fact tables; its ledger row.
+
+    The documents are parsed once, into nested Parquet under ``base/_parsed``; the five tables,
+    the quarantine and the ledger are read from there. A rerun overwrites all it wrote.
+    """
+    base = base.rstrip("/")
+    documents = stage_documents(landed, f"{base}/_parsed/run_ts_ms={run_ts_ms}")
+    write_run(flatten_documents(documents.filter("parsed")), base, run_ts_ms)
+    documents.filter(~F.col("parsed")).select("req_acta_id", "snapshot_ts_ms", "body").write.mode(
+        "overwrite").option("compression", "zstd").parquet(f"{base}/_quarantine/run_ts_ms={run_ts_ms}")
+    ledger = run_ledger(documents, run_ts_ms, 0, expected)
+    ledger.write.mode("overwrite").json(f"{base}/_ledger/run={run_ts_ms}/batch=0")
+    return ledger
+
+
 def task_universe(
     stations: DataFrame,
     elections: Iterable[int] = c.ELECTIONS,

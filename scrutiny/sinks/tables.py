@@ -9,12 +9,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scrutiny.functions.scalars import lima_date
 from scrutiny.operators.contract_checks import coerce_null_columns, contract_violations
 from scrutiny.operators.unions import union_all
 from scrutiny.sources.files import CSV_FORMAT, read_official_csv
-from scrutiny.sources.tables import file_schemas, partition_keys, read_relaxed
+from scrutiny.sources.tables import SNAPSHOT, file_schemas, partition_keys, read_relaxed
 
 
 def _fs(spark: SparkSession, path: str):
@@ -46,12 +47,17 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def append_snapshot(df: DataFrame, base: str, table: str, ts: str = "snapshot_ts_ms") -> str:
-    """Append a snapshot, partitioned by its local date."""
+    """Append a snapshot, partitioned by its local date and its time.
+
+    The time's partition is written as a whole, so appending a snapshot again (a retry)
+    leaves one copy of it; other snapshots are not touched.
+    """
     path = f"{base.rstrip('/')}/{table}"
     (
         coerce_null_columns(df)
-        .withColumn("snapshot_date", lima_date(ts))
-        .write.mode("append").partitionBy("snapshot_date")
+        .withColumns({"snapshot_date": lima_date(ts), SNAPSHOT: F.col(ts)})
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("snapshot_date", SNAPSHOT)
         .option("compression", "zstd").parquet(path)
     )
     return path
@@ -183,11 +189,14 @@ def migrate_null_types(spark: SparkSession, base: str, table: str | None = None,
                        dry_run: bool = True) -> DataFrame:
     """Rewrite run folders with files that hold untyped columns.
 
-    Returns one row: files looked at, files that need it, files rewritten. All folders
-    are rewritten by one job into staging and then swapped in by another, so a failure
-    at any point leaves either the old files or the complete staged ones. A second run
-    finds nothing to do.
+    Returns one row: files looked at, files that need it, files rewritten. All folders are
+    rewritten by one job into staging, a pointer says that the staging is complete, and
+    another job swaps them in. A run that was killed before the pointer left the old files
+    and is begun anew; one killed after it is finished by the next run, which finds the
+    staging through the pointer. A run after that finds nothing to do.
     """
+    if not dry_run:
+        _finish_migration(spark, base)
     schemas = file_schemas(spark, base).select(
         "path",
         "columns_json",
@@ -212,15 +221,30 @@ def migrate_null_types(spark: SparkSession, base: str, table: str | None = None,
     )
 
 
+def _journal(base: str) -> str:
+    return f"{base.rstrip('/')}.migration"
+
+
 def _rewrite_folders(spark: SparkSession, base: str, table: str | None, files: DataFrame,
                      keys: list[str]) -> None:
-    """Rewrite whole leaf folders through staging."""
-    staging = f"{base.rstrip('/')}.staging-{uuid.uuid4().hex[:8]}"
+    """Rewrite whole leaf folders: stage them, commit the staging, swap it in."""
+    from scrutiny.sinks.commits import publish
+
     fixed = read_relaxed(spark, base, table, files.select("path", "columns_json"))
-    fixed.write.partitionBy(*keys).option("compression", "zstd").parquet(staging)
-    staged = spark.read.schema(fixed.schema).parquet(staging)
-    (
-        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys).option("compression", "zstd").parquet(base)
-    )
-    delete_path(spark, staging)
+    publish(fixed, _journal(base), tuple(keys), keys=keys, ddl=fixed.schema.json())
+    _finish_migration(spark, base)
+
+
+def _finish_migration(spark: SparkSession, base: str) -> None:
+    """Swap in a committed staging, also one that an earlier run left, and drop it."""
+    from scrutiny.sinks.commits import current
+
+    staged = current(spark, _journal(base))
+    if staged:
+        schema = T.StructType.fromJson(json.loads(staged["ddl"]))
+        rows = spark.read.schema(schema).parquet(f"{_journal(base)}/{staged['folder']}")
+        (
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*staged["keys"]).option("compression", "zstd").parquet(base)
+        )
+    delete_path(spark, _journal(base))

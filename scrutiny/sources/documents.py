@@ -39,6 +39,17 @@ def parse_documents(raw: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
+def stage_documents(raw: DataFrame, path: str, body: str = "body") -> DataFrame:
+    """Parse landed documents once into nested Parquet, read back.
+
+    Each fact table then reads just the nested columns it is made of; no text is parsed or
+    scanned again, however many tables there are.
+    """
+    parsed = parse_documents(raw, body)
+    parsed.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return raw.sparkSession.read.schema(parsed.schema).parquet(path)
+
+
 # --- aggregate payloads -------------------------------------------------------
 
 # Fields of each aggregate payload.
@@ -104,6 +115,51 @@ def aggregate_tables(landed: DataFrame) -> dict[str, DataFrame]:
     return {name: aggregate_table(landed, name) for name in c.AGGREGATE_TABLES}
 
 
+def _all_fields() -> dict[str, str]:
+    """Every field of any aggregate payload; text where the tables differ in its type."""
+    types: dict[str, str] = {}
+    for fields in AGGREGATE_FIELDS.values():
+        for name, kind in (f.split(":") for f in fields.split(",")):
+            types[name] = kind if types.get(name, kind) == kind else "string"
+    return types
+
+
+def stage_aggregates(landed: DataFrame, path: str) -> None:
+    """Parse every landed payload once and write its rows, a partition for each table.
+
+    One schema holds the fields of all tables, so one parse serves whatever table a payload
+    is for; a column that a table doesn't have is null there and costs nothing in Parquet.
+    Payloads of tables that are not known, and null ones, give no rows.
+    """
+    ddl = ",".join(f"{name}:{kind}" for name, kind in _all_fields().items())
+    rows = (
+        landed.filter(F.col("table_name").isin(*c.AGGREGATE_TABLES) & F.col("payload").isNotNull())
+        .select("table_name", F.col("idEleccion").alias("_idEleccion"),
+                F.col("idDistritoElectoral").alias("_idDistritoElectoral"), "snapshot_ts_ms",
+                F.explode(F.from_json("payload", f"array<struct<{ddl}>>")).alias("r"))
+        .select("table_name", "_idEleccion", "_idDistritoElectoral", "snapshot_ts_ms", "r.*")
+    )
+    (rows.write.mode("overwrite").partitionBy("table_name").option("compression", "zstd")
+     .parquet(path))
+
+
+def staged_aggregate_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The eight tables from what ``stage_aggregates`` wrote: each reads its own partition and
+    columns, and a table without any payload is empty."""
+    types = _all_fields()
+    ddl = ("table_name string, _idEleccion bigint, _idDistritoElectoral bigint, snapshot_ts_ms bigint, "
+           + ", ".join(f"{name} {kind}" for name, kind in types.items()))
+    staged = spark.read.schema(ddl).parquet(path)
+    out = {}
+    for table in c.AGGREGATE_TABLES:
+        fields = [f.split(":") for f in AGGREGATE_FIELDS[table].split(",")]
+        rows = staged.filter(F.col("table_name") == table).select(
+            *[F.col(n).try_cast(k).alias(n) if types[n] != k else F.col(n) for n, k in fields],
+            *[F.col(f"_{n}").alias(n) for n in _STAMPS[table]], "snapshot_ts_ms")
+        out[table] = stamp(rows, F.col("snapshot_ts_ms"))
+    return out
+
+
 # --- geography ----------------------------------------------------------------
 
 GEOGRAPHY_DDL = (

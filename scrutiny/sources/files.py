@@ -76,44 +76,69 @@ def read_roll(spark: SparkSession, path: str) -> DataFrame:
     return read_csv_typed(spark, path, {"Edad": "bigint", "Cantidad": "bigint"})
 
 
+#: A number written the one way its value is written: no padding, no sign on zero.
+_PLAIN_NUMBER = r"^(0|-?[1-9][0-9]*|-?(0|[1-9][0-9]*)\.[0-9]+)$"
+_DOUBLE_DIGITS, _DECIMAL_DIGITS = 15, 38  # what a double gives back for sure; the widest decimal
+
+
 def _inferred(rows: DataFrame) -> dict[str, str]:
-    """Type of each text column that all its values allow; a column without any is text."""
+    """Type of each text column that gives every one of its values back as it was written.
+
+    Whole numbers without padding are ``bigint``; numbers with a fraction ``double`` if none
+    ends in a zero and 15 digits hold them, else ``decimal`` if the decimals are as many in
+    all or none ends in a zero; ``true`` and ``false`` boolean. All else, a column without a
+    value included, stays text.
+    """
     tests = []
     for i, name in enumerate(rows.columns):
         text = F.col(f"`{name}`")
+        number = text.rlike(_PLAIN_NUMBER)
+        fraction = F.when(F.contains(text, F.lit(".")), F.substring_index(text, ".", -1)).otherwise("")
+        digits = F.length(F.regexp_replace(text, "[^0-9]", ""))
         fits = {
-            "bigint": text.try_cast("bigint").isNotNull(),
-            "double": text.try_cast("double").isNotNull(),
-            "boolean": F.lower(text).isin("true", "false"),
+            "whole": text.try_cast("bigint").cast("string") == text,
+            "number": number,
+            "short": number & (digits <= _DOUBLE_DIGITS),
+            "bare": ~F.endswith(fraction, F.lit("0")),  # the value determines the text
+            "boolean": text.isin("true", "false"),
         }
         tests += [
-            F.coalesce(F.bool_and(F.when(text.isNotNull(), ok)), F.lit(False)).alias(f"{kind}_{i}")
+            F.coalesce(F.bool_and(F.when(text.isNotNull(), F.coalesce(ok, F.lit(False)))),
+                       F.lit(False)).alias(f"{kind}_{i}")
             for kind, ok in fits.items()
         ]
+        scale = F.length(fraction)
+        tests += [F.min(scale).alias(f"least_{i}"), F.max(scale).alias(f"scale_{i}"),
+                  F.max(digits - scale).alias(f"before_{i}")]
     row = rows.agg(*tests).first()
-    return {
-        name: next((k for k in ("bigint", "double", "boolean") if row[f"{k}_{i}"]), "string")
-        for i, name in enumerate(rows.columns)
-    }
+
+    def kind(i: int) -> str:
+        if row[f"whole_{i}"]:
+            return "bigint"
+        if row[f"short_{i}"] and row[f"bare_{i}"]:
+            return "double"
+        width = (row[f"before_{i}"] or 0) + (row[f"scale_{i}"] or 0)
+        even = row[f"least_{i}"] == row[f"scale_{i}"]
+        if row[f"number_{i}"] and (even or row[f"bare_{i}"]) and width <= _DECIMAL_DIGITS:
+            return f"decimal({width},{row[f'scale_{i}']})"
+        return "boolean" if row[f"boolean_{i}"] else "string"
+
+    return {name: kind(i) for i, name in enumerate(rows.columns)}
 
 
 def read_official_csv(spark: SparkSession, path: str, types: dict[str, str] | None = None
                       ) -> DataFrame:
     """Official CSV: encoding and layout found out per file, types from all rows.
 
-    A column gets the narrowest type that every one of its values fits, so no value is
-    lost. ``types`` spares the pass that finds them; a value that does not fit a type given
-    there is an error.
+    A column gets a type only if every value comes back from it as it was written, so codes
+    like ``007`` and amounts like ``0.10`` are kept. ``types`` spares the pass that finds them;
+    a value that does not fit a type given there is an error.
     """
     if types is not None:
         return read_csv_typed(spark, path, types)
     raw = read_csv_text(spark, path)
-
-    def typed(name: str, kind: str) -> Column:
-        text = F.col(f"`{name}`")
-        return F.lower(text) == "true" if kind == "boolean" else text.cast(kind)
-
-    return raw.select(*[typed(name, kind).alias(name) for name, kind in _inferred(raw).items()])
+    return raw.select(*[F.col(f"`{name}`").cast(kind).alias(name)
+                        for name, kind in _inferred(raw).items()])
 
 
 def file_manifest(spark: SparkSession, base: str, with_hash: bool = True) -> DataFrame:

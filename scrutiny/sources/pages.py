@@ -150,8 +150,29 @@ def links(pages: DataFrame, html: str = "html", key: str = "page_id") -> DataFra
 
 def embedded_json(html: Column | str, path: str = "$.props.pageProps.dispositivo",
                   script_id: str = "__NEXT_DATA__") -> Column:
-    """JSON text at a path of the page's data script; null if absent or not JSON."""
-    blob = F.regexp_extract(
+    """JSON text at a path of the page's data script; null if absent.
+
+    The whole blob has to be JSON: with anything missing, or anything behind its end, it is
+    null. ``get_json_object`` alone would stop reading where the path is found.
+    """
+    blob = F.nullif(F.regexp_extract(
         _col(html), rf'(?s)<script id="{script_id}" type="application/json">(.+?)</script>', 1
-    )
-    return F.get_json_object(F.nullif(blob, F.lit("")), path)
+    ), F.lit(""))
+    return F.when(is_json(blob), F.get_json_object(blob, path))
+
+
+#: Stands behind a text to see whether the parser gets that far.
+_END = "_end_of_text_"
+
+
+def is_json(text: Column) -> Column:
+    """True if a text is one JSON value and nothing else.
+
+    The parser stops where its first value ends. So the text stands in an array in front of a
+    mark of our own: it is one value if the array is that value and the mark.
+    """
+    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
+    parts = F.try_variant_get(wrapped, "$", "array<variant>")
+    return F.coalesce(
+        ~F.contains(text, F.lit(_END)) & (F.size(parts) == 2)
+        & (F.try_variant_get(wrapped, "$[1]", "string") == _END), F.lit(False))

@@ -16,6 +16,9 @@ from scrutiny.operators.unions import union_relaxed
 #: Run-versioned facts: partition columns, pinned so that dates stay text.
 RUN_PARTITIONS = "snapshot_date string, run_ts_ms bigint"
 
+#: Partition of a snapshot in a time series: its time again, so that rows keep theirs.
+SNAPSHOT = "snapshot"
+
 _FOOTERS_PER_TASK = 256
 
 
@@ -27,6 +30,10 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
 
 def read_series(spark: SparkSession, base: str, merge: bool = False) -> DataFrame:
     """All snapshots of a time-series fact. ``merge`` adds columns of newer files."""
+    return _series(spark, base, merge).drop(SNAPSHOT)
+
+
+def _series(spark: SparkSession, base: str, merge: bool = False) -> DataFrame:
     reader = spark.read.option("mergeSchema", str(merge).lower())
     df = reader.parquet(base)
     if "snapshot_date" in df.columns:
@@ -34,6 +41,23 @@ def read_series(spark: SparkSession, base: str, merge: bool = False) -> DataFram
     return df
 
 
+def read_newest(spark: SparkSession, base: str, n: int = 1) -> DataFrame:
+    """Rows of the newest ``n`` snapshots of a series written by ``append_snapshot``.
+
+    Which those are is known from folder names; the scan opens their partitions only.
+    """
+    from scrutiny.sinks.commits import folder_names
+
+    base = base.rstrip("/")
+    found: list[int] = []
+    for day in reversed(folder_names(spark, base)):  # newest day first, as few as are needed
+        if day.startswith("snapshot_date=") and len(found) < n:
+            times = (name.partition("=") for name in folder_names(spark, f"{base}/{day}"))
+            found += sorted((int(t) for key, _, t in times if key == SNAPSHOT and t.isdigit()),
+                            reverse=True)[:n - len(found)]
+    return _series(spark, base).where(F.col(SNAPSHOT).isin(found)).drop(SNAPSHOT)
+
+
 def read_facts(spark: SparkSession, base: str, table: str) -> DataFrame:
     """Versioned facts whose files meet the contract (all that this package wrote)."""
     fields = c.fact_schema(table).fields + c.schema(RUN_PARTITIONS).fields

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from scrutiny.plans.ingest import flatten_documents, run_ledger
-from scrutiny.sinks.tables import write_run
+from scrutiny.plans.ingest import flatten_documents, outcomes, run_ledger
+from scrutiny.sinks.tables import path_exists, write_run
 from scrutiny.sources.documents import REQUEST_DDL, parse_documents
 from scrutiny.streaming.common import file_stream, overwrite_batch
 
@@ -15,45 +15,103 @@ from scrutiny.streaming.common import file_stream, overwrite_batch
 LANDED_DDL = REQUEST_DDL + ", body string"
 
 
-def parsed_stream(landed: DataFrame) -> DataFrame:
-    """Parsed documents, each acta once per run.
+#: The completion ledger: what became of each acta in a batch.
+DONE_DDL = "req_acta_id bigint, outcome string, run_ts_ms bigint, batch_id bigint"
 
-    An acta counts as done only once a document of it could be read: an unreadable
-    answer does not keep a later good one out.
+
+def best_documents(parsed: DataFrame) -> DataFrame:
+    """Each acta of a batch once: a readable document before an unreadable one, then the newest.
+
+    Ties go to the larger text. Documents without the acta they answer have no key to be done
+    under and stay as they are.
     """
-    return parse_documents(landed).dropDuplicates(["req_acta_id", "parsed"])
+    order = F.struct("parsed", F.coalesce("snapshot_ts_ms", F.lit(0)), "body")
+    best = (parsed.where(F.col("req_acta_id").isNotNull()).groupBy("req_acta_id")
+            .agg(F.max_by(F.struct(*parsed.columns), order).alias("row")).select("row.*"))
+    return best.unionByName(parsed.where(F.col("req_acta_id").isNull()))
+
+
+def completed(spark: SparkSession, base: str, run_ts_ms: int,
+              before_batch: int | None = None) -> DataFrame:
+    """What a run has recorded: ``req_acta_id, outcome, run_ts_ms, batch_id``.
+
+    The ledger is partitioned by run, so this reads one run, however many there were. Rows of
+    the batch itself (written before a failure) and of later ones can be left out.
+    """
+    path = f"{base.rstrip('/')}/_done"
+    if not path_exists(spark, f"{path}/run_ts_ms={run_ts_ms}"):
+        return spark.createDataFrame([], DONE_DDL)
+    rows = spark.read.schema(DONE_DDL).parquet(path).where(F.col("run_ts_ms") == run_ts_ms)
+    return rows if before_batch is None else rows.where(F.col("batch_id") < before_batch)
+
+
+def not_done(batch: DataFrame, base: str, run_ts_ms: int, batch_id: int) -> DataFrame:
+    """Documents of a batch that this run still needs.
+
+    An acta is done once a document of it could be read; an unreadable answer keeps only
+    further unreadable ones out. Other runs don't count: each brings its own version.
+    """
+    before = completed(batch.sparkSession, base, run_ts_ms, batch_id)
+    known = before.groupBy("req_acta_id").agg(F.bool_or(F.col("outcome") != "failed").alias("_read"))
+    return (batch.join(known, "req_acta_id", "left")
+            .where(F.col("_read").isNull() | (~F.col("_read") & F.col("parsed")))
+            .select(*batch.columns))
+
+
+def run_outcomes(spark: SparkSession, base: str, run_ts_ms: int) -> DataFrame:
+    """The final outcome of every acta of a run: a later good answer replaces a failure."""
+    rank = F.when(F.col("outcome") == "failed", 0).otherwise(1)
+    return (completed(spark, base, run_ts_ms).groupBy("req_acta_id")
+            .agg(F.max_by("outcome", F.struct(rank, "batch_id")).alias("outcome")))
+
+
+def run_accounting(spark: SparkSession, base: str, run_ts_ms: int) -> DataFrame:
+    """``ok, empty, failed`` actas of a run, each acta counted once."""
+    return run_outcomes(spark, base, run_ts_ms).agg(
+        *[F.count_if(F.col("outcome") == x).alias(x) for x in ("ok", "empty", "failed")])
 
 
 def ingest_batch(batch: DataFrame, batch_id: int, base: str, run_ts_ms: int,
-                 expected: int = 0) -> None:
-    """One micro-batch: five fact tables, the quarantine, one ledger row.
+                 expected: int = 0, volatile: DataFrame | None = None) -> None:
+    """One micro-batch of parsed documents: five fact tables, the quarantine, the ledgers.
 
-    Every output lies under the batch's own partition, so a batch that is replayed
-    after a failure replaces what it had written.
+    Every output lies under the batch's own partition, so a batch that is replayed after a
+    failure replaces what it had written. What is done is found by an anti-join against the
+    run's completion ledger, which the batch writes last: the stream itself holds no state.
     """
-    batch = batch.persist()
+    todo = batch if volatile is None else refresh_stream(batch, volatile)
+    batch = not_done(best_documents(todo), base, run_ts_ms, batch_id).persist()
     try:
         good = batch.filter("parsed")
         write_run(flatten_documents(good), base, run_ts_ms, batch_id)
         overwrite_batch(
             batch.filter(~F.col("parsed")).select("req_acta_id", "snapshot_ts_ms", "body"),
-            f"{base}/_quarantine", batch_id)
+            f"{base}/_quarantine/run_ts_ms={run_ts_ms}", batch_id)
         run_ledger(batch, run_ts_ms, batch_id, expected).write.mode("overwrite").json(
-            f"{base}/_ledger/batch={batch_id}")
+            f"{base}/_ledger/run={run_ts_ms}/batch={batch_id}")
+        overwrite_batch(
+            outcomes(batch).where(F.col("req_acta_id").isNotNull()).select("req_acta_id", "outcome"),
+            f"{base}/_done/run_ts_ms={run_ts_ms}", batch_id)
     finally:
         batch.unpersist()
 
 
 def ingest_stream(spark: SparkSession, landed: str, base: str, checkpoint: str, run_ts_ms: int,
-                  expected: int = 0, max_files: int = 500) -> StreamingQuery:
-    """Work off the landed files in bounded batches; a restart resumes where it stopped."""
+                  expected: int = 0, max_files: int = 500,
+                  volatile: DataFrame | None = None) -> StreamingQuery:
+    """Work off the landed files in bounded batches; a restart resumes where it stopped.
+
+    The same checkpoint serves run after run: a later run (another ``run_ts_ms``) takes the
+    files landed since, and its documents become the newer version of actas that an earlier
+    run has. ``volatile`` (``idActa``) limits a refresh to actas that can still change.
+    """
     source = file_stream(spark, landed, LANDED_DDL, "json", max_files)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, batch_id, base, run_ts_ms, expected)
+        ingest_batch(batch, batch_id, base, run_ts_ms, expected, volatile)
 
     return (
-        parsed_stream(source).writeStream.foreachBatch(handle)
+        parse_documents(source).writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
