@@ -27,7 +27,7 @@ from scrutiny.llm.common import held
 
 TOGETHER = 64  # plain words the library gets in one string
 UNIT_BYTES = 64  # longer units are not remembered
-REMEMBERED = 1_500_000  # units
+REMEMBERED = 1_000_000  # units
 FACTORS = np.cumprod(np.full(UNIT_BYTES, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
 
 

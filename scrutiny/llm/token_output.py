@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scrutiny.llm.common import text_slices
+from scrutiny.llm.common import give_back, text_slices
 from scrutiny.llm.encoding import encoder
 
 #: Parquet's own settings: row group, page, dictionary page and page rows.
@@ -61,6 +61,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
                  pa.array(before + ends - sizes), pa.array(sizes), list_array(flat, sizes)],
                 ["doc_id", "file_no", "start_in_file", "n_tokens", "ids"])
             before += int(ends[-1])
+            give_back()
 
     (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
      .repartitionByRange("doc_id").sortWithinPartitions("doc_id")
