@@ -16,8 +16,8 @@ parts of bounded size, so a line in a third of all documents does not meet in on
 
 Defined results: a null text is one empty line; rows without an identifier take no part and
 keep all lines; rows that share an identifier count as documents of their own, and all of
-them keep the line if the identifier is the largest. Empty tables give empty results; other
-columns are passed through untouched.
+them keep the line if the identifier is the largest. Texts and lines of any length are read
+whole. Empty tables give empty results; other columns are passed through untouched.
 """
 
 from __future__ import annotations
@@ -174,22 +174,39 @@ class LineIndex:
     """The same as a state that documents enter and leave.
 
     Every change writes the next version beside the earlier ones and only then counts, so a
-    change that dies half-way leaves the index as it was.
+    change that dies half-way leaves the index as it was. An index that is there already is
+    opened at its last complete version. A document counts once for a line however often it
+    was inserted; it is out when it was deleted as often. Deleting what isn't held is undone by
+    the insert that follows.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, shards: int = 16,
                  min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS):
         self.spark, self.path = spark, path or scratch_path(spark, "line-index")
         self.shards, self.min_chars, self.min_docs = shards, min_chars, min_docs
+        self.version = self._last_version()
+        if self.version >= 0:
+            return
         self.version = 0
         none = spark.createDataFrame([], "key binary, doc_id bigint, sign int")
-        none.write.parquet(f"{self.path}/postings/version=0")
-        spark.createDataFrame([], "shard bigint, filter binary").write.parquet(
+        none.write.mode("overwrite").parquet(f"{self.path}/postings/version=0")
+        spark.createDataFrame([], "shard bigint, filter binary").write.mode("overwrite").parquet(
             f"{self.path}/filters/version=0")
 
-    def _postings(self) -> DataFrame:
-        """What is held now: postings whose additions outnumber their removals."""
-        paths = [f"{self.path}/postings/version={v}" for v in range(self.version + 1)]
+    def _last_version(self) -> int:
+        """The last version whose filters were written to the end (-1: there is no index)."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/filters")
+        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(folder):
+            return -1
+        done = [s.getPath().getParent().getName() for s in
+                fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(folder, "version=*/_SUCCESS")) or []]
+        return max((int(n.split("=")[1]) for n in done), default=-1)
+
+    def _postings(self, version: int | None = None) -> DataFrame:
+        """What is held: postings whose additions outnumber their removals."""
+        last = self.version if version is None else version
+        paths = [f"{self.path}/postings/version={v}" for v in range(last + 1)]
         return (self.spark.read.schema("key binary, doc_id bigint, sign int").parquet(*paths)
                 .groupBy("key", "doc_id").agg(F.sum("sign").alias("n")).where("n > 0"))
 
@@ -212,13 +229,19 @@ class LineIndex:
         new = self.version + 1
         postings(docs, self.min_chars).withColumn("sign", F.lit(sign)).write.mode("overwrite").parquet(
             f"{self.path}/postings/version={new}")
-        touched = (self.spark.read.parquet(f"{self.path}/postings/version={new}")
-                   .groupBy("key").agg(F.sum("sign").alias("change")))
-        before = self._postings().groupBy("key").agg(F.count("*").alias("n_before"))
-        n = F.coalesce("n_before", F.lit(0))
-        crossed = (touched.join(before, "key", "left")
-                   .withColumn("enters", (n < self.min_docs) & (n + F.col("change") >= self.min_docs))
-                   .withColumn("leaves", (n >= self.min_docs) & (n + F.col("change") < self.min_docs))
+        touched = (self.spark.read.schema("key binary").parquet(f"{self.path}/postings/version={new}")
+                   .distinct())
+
+        def documents(version: int, name: str) -> DataFrame:
+            """How many documents hold a touched key."""
+            return (self._postings(version).join(touched, "key", "left_semi")
+                    .groupBy("key").agg(F.count("*").alias(name)))
+
+        n, after = (F.coalesce(c, F.lit(0)) for c in ("n_before", "n_after"))
+        crossed = (touched.join(documents(self.version, "n_before"), "key", "left")
+                   .join(documents(new, "n_after"), "key", "left")
+                   .withColumn("enters", (n < self.min_docs) & (after >= self.min_docs))
+                   .withColumn("leaves", (n >= self.min_docs) & (after < self.min_docs))
                    .where("enters or leaves")
                    .select("key", "enters", shard_of(self.shards).alias("shard")))
         path = f"{self.path}/filters/version={new}"

@@ -9,7 +9,8 @@ three, so a small budget finds nearly all, and the exact check removes the rest.
 Defined results: a null or blank text has fingerprint zero and is linked like any other.
 Rows without an identifier get the component of their fingerprint, or null if they alone have
 it. Repeated rows and exact copies meet in one node before anything is compared, however many
-they are. Empty tables give empty results; only the identifier and the text are read.
+they are. Texts of any length are read whole, a slice of words at a time. Empty tables give
+empty results; only the identifier and the text are read.
 """
 
 from __future__ import annotations

@@ -23,7 +23,8 @@ of its suffixes as there are chunks, times the variants of its surroundings.
 
 Defined results: a null text is empty; texts below 100 bytes lose nothing; rows without an
 identifier neither lose nor cause anything; among rows that share an identifier the order of
-reading decides which comes first. Other columns are not read.
+reading decides which comes first. A text longer than a chunk is a chunk of its own and is
+treated whole; an empty table gives no row. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -46,7 +46,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
     """Encode every whole text and write the ids in ascending document order.
 
     Null is the empty text, whose ids are the end id alone. Rows without an identifier come
-    first; equal identifiers keep one row each, next to each other. Other columns are not read.
+    first; equal identifiers keep one row each, next to each other. A text of any length is one
+    row, encoded unit by unit; an empty table gives files without rows. Other columns are not
+    read.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

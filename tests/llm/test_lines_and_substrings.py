@@ -184,3 +184,24 @@ def test_equal_strings_have_equal_anchors(texts):
         for p in range(b, c + 1):
             assert place.setdefault(whole[p:p + 100], a - p) == a - p
     assert sum((last - first + 1).tolist()) == sum(max(0, len(r) - 99) for r in raws)
+
+
+def test_an_index_is_opened_again_and_repeated_inserts_count_once(spark, tmp_path, make_docs):
+    line = "a line of more than forty characters in many documents"
+    docs = make_docs([(i, f"{line}\nown line {i}") for i in range(5)])
+    path = str(tmp_path / "index")
+    first = line_dedup.LineIndex(spark, path, shards=2)
+    first.insert(docs)
+    first.insert(docs.where("doc_id = 0"))  # again
+    first.delete(docs.where("doc_id = 0"))  # once: it is still held
+
+    def dropped(index):
+        return sum(r.n_dropped for r in index.apply(docs).collect())
+
+    assert first.references().count() == 1 and dropped(first) == 4
+    again = line_dedup.LineIndex(spark, path, shards=2)
+    assert again.version == first.version and dropped(again) == 4
+    again.delete(docs.where("doc_id = 0"))
+    assert again.references().count() == 0 and dropped(again) == 0
+    again.insert(docs.where("doc_id = 0"))
+    assert dropped(line_dedup.LineIndex(spark, path, shards=2)) == 4
