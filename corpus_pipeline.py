@@ -3,6 +3,12 @@
 Each stage takes the documents that the one before it kept, written as Parquet in the
 cluster's shared folder, and returns documents with the same columns; the last one returns
 the pieces of the packed sequences with their token ids.
+
+Defined results, the same in every stage: a null text is an empty one (the quality rules reject
+it); rows without an identifier are judged like any other, are never taken for copies of rows
+with one, and are packed; repeated rows are one document to near-dedup, and every stage keeps or
+drops all of them; texts of any length are treated whole; an empty table gives an empty
+result with the same columns; other columns are passed on until packing, which reads none.
 """
 
 from __future__ import annotations
@@ -28,6 +34,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents without lines that many of them share."""
     kept = line_dedup.dedup_lines(docs, counts=False)
+    if "n_chars" not in docs.columns:
+        return kept
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
