@@ -330,15 +330,13 @@ FROM (SELECT *, CASE length(href) % 4 WHEN 0 THEN '.csv' WHEN 1 THEN '.csv.gz' W
     unnest(generate_series(1, len(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a>'))))
       AS position FROM {pages}) x) y WHERE ext <> ''""")
 def _(t):
-    # Menu entries become downloads; which kind depends on the length of their address.
-    items = F.regexp_extract_all("html", F.lit(r'<li><a href="([^"]*)">([^<]*)</a>'), 1)
-    names = F.regexp_extract_all("html", F.lit(r'<li><a href="([^"]*)">([^<]*)</a>'), 2)
-    made = F.zip_with(items, names, lambda h, n: F.concat(
-        F.lit('<li><a class="data-link" href="'), h,
-        F.element_at(F.array(F.lit(".csv"), F.lit(".csv.gz"), F.lit(".zip"), F.lit("")),
-                     F.length(h) % 4 + 1), F.lit('"> '), n, F.lit(" </a></li>")))
-    return pages.download_links(
-        t("pages").select("page_id", F.array_join(made, "\n").alias("html")), _BASE)
+    # Menu entries of the whole page become downloads; the kind depends on the address's length.
+    html = F.col("html")
+    for length, ext in ((r"(?:[^\"]{4})+", ".csv"), (r"(?:[^\"]{4})*[^\"]", ".csv.gz"),
+                        (r"(?:[^\"]{4})*[^\"]{2}", ".zip")):
+        html = F.regexp_replace(html, F.lit(rf'<a href="({length})">([^<]*)</a>'),
+                                F.lit(rf'<a class="data-link" href="$1{ext}"> $2 </a>'))
+    return pages.download_links(t("pages").select("page_id", html.alias("html")), _BASE)
 
 
 @query("embedded_json", "S11", """
@@ -380,6 +378,16 @@ def _(t):
     return catalogue.monitor(entries, previous)
 
 
+@query("catalogue_alert_from_pages", "B16 F16 S9", f"""
+SELECT page_id, position, 'Diputados 2026 - ' || title AS title, url, raw_date
+FROM ({_ENTRIES}) e WHERE page_id % 5 = 4 ORDER BY page_id LIMIT 1""")
+def _(t):
+    announced = F.when(F.col("page_id") % 5 == 4, F.lit("$1Diputados 2026 - ")).otherwise(F.lit("$1"))
+    made = _catalogue_pages(t).withColumn(
+        "html", F.regexp_replace("html", F.lit(r'(<a href="/dataset/\d+">)'), announced))
+    return catalogue.alert(pages.catalogue_entries(made, _BASE))
+
+
 @query("catalogue_alert", "B16 F16", """
 SELECT page_id, CAST(0 AS BIGINT) AS position, 'Diputados 2026 - ' || page_id AS title,
   url FROM {pages} WHERE page_id % 5 = 4 ORDER BY page_id LIMIT 1""")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scrutiny.harness.jobs import _TIDY
-from scrutiny.harness.landing import _OK, RUN_MS, _landed
+from scrutiny.harness.landing import _BASE, _ENTRIES, _OK, RUN_MS, _catalogue_pages, _landed
 from scrutiny.harness.registry import query
 from scrutiny.harness.streams import _WINDOWS, _shown
 from scrutiny.operators import versions
@@ -14,8 +14,8 @@ from scrutiny.plans import curate, export
 from scrutiny.session import scratch_path
 from scrutiny.sinks import commits
 from scrutiny.sinks import tables as sinks
-from scrutiny.sources import tables
-from scrutiny.streaming import common, ingest, late, merged
+from scrutiny.sources import pages, tables
+from scrutiny.streaming import alerts, common, ingest, late, merged
 
 def _two_runs(t, volatile: bool = False) -> str:
     """Two runs over one checkpoint; the second brings every acta again, counted by then."""
@@ -212,3 +212,19 @@ def _(t):
     votes = write_clustered(t("votos"), f"votos_{tag}", f"{path}/votos", buckets=16)
     header = write_clustered(t("cab"), f"cabecera_{tag}", f"{path}/cabecera", buckets=16)
     return curate.tidy_votes(votes, header)
+
+
+@query("catalogue_alerts", "T6 J13 F16", f"""
+SELECT page_id, title, url, false AS matches FROM ({_ENTRIES}) e WHERE page_id % 2 = 1""")
+def _(t):
+    spark = t.spark
+    out = scratch_path(spark, "alerts")
+    made = _catalogue_pages(t)
+    for part in range(3):  # the whole catalogue again with every delivery but the first
+        made.where(F.lit(part > 0) | (F.col("page_id") % 3 == 0)).coalesce(1).write.parquet(
+            f"{out}/pages/part{part}")
+    source = common.file_stream(spark, f"{out}/pages/*", "page_id bigint, html string", max_files=1)
+    previous = pages.catalogue_entries(made, _BASE).filter("page_id % 2 = 0")
+    common.run_available(alerts.alert_stream(
+        pages.catalogue_entries(source, _BASE), previous, f"{out}/table", f"{out}/checkpoint", every=1))
+    return alerts.read_alerts(spark, f"{out}/table", "page_id bigint, title string, url string, matches boolean")

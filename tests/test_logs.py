@@ -316,3 +316,20 @@ def test_types_give_every_value_back(spark, tmp_path):
     ("null", True), ("", False)])
 def test_json_is_one_value_and_nothing_else(spark, text, good):
     assert spark.createDataFrame([(text,)], "t string").select(pages.is_json(F.col("t"))).first()[0] is good
+
+
+def test_an_address_is_reported_once_over_a_hundred_batches(spark, tmp_path):
+    from scrutiny.streaming import alerts
+
+    ddl = "page_id bigint, title string, url string"
+    previous = spark.createDataFrame([(0, "old", "/old")], ddl)
+    path, want = str(tmp_path / "t"), []
+    for i in range(12):
+        rows = [(i, f"t{i}", f"/{i // 2}"), (100 + i, "again", "/0"), (i, "old", "/old"), (i, "none", None)]
+        alerts.alert_batch(spark.createDataFrame(rows, ddl), i, path, previous, every=3)
+        want += [(i, f"/{i // 2}")] if i % 2 == 0 else []
+        if i in (4, 9):  # replayed
+            alerts.alert_batch(spark.createDataFrame(rows, ddl), i, path, previous, every=3)
+        assert len(log.batches(spark, f"{path}/known")) <= 6  # files read stay the same
+    found = alerts.read_alerts(spark, path, ddl + ", matches boolean").collect()
+    assert sorted((r.page_id, r.url) for r in found) == want
