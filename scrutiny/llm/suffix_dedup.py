@@ -30,6 +30,7 @@ treated whole; an empty table gives no row. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -83,12 +84,12 @@ def regrouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in text_slices(batches, "text", CHUNK_BYTES // 8):
         n = part.column("text").nbytes
         if held and size + n > CHUNK_BYTES:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            yield one_batch(held)
             held, size = [], 0
         held.append(part)
         size += n
     if held and sum(b.num_rows for b in held):
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        yield one_batch(held)
 
 
 class Chunk:
@@ -270,22 +271,36 @@ def cuts(rows: DataFrame) -> DataFrame:
 
 
 def whole_leads(batches: Iterator[pa.RecordBatch], least: int = 100_000) -> Iterator[pa.RecordBatch]:
-    """Sorted batches put together, cut where the leading bytes change."""
-    held, size = [], 0
+    """Sorted batches put together, cut where the leading bytes change.
+
+    Rows are put together once, when their leads are complete, so a lead of very many suffixes
+    costs time in proportion to them.
+    """
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
-        held.append(batch)
+        if not batch.num_rows:
+            continue
         size += batch.num_rows
         if size >= least:
-            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            lead = whole.column("suffix")
-            stop, last = size - 1, lead[size - 1].as_py()[:GRAM]
-            while stop and lead[stop - 1].as_py()[:GRAM] == last:
-                stop -= 1
-            if stop:
-                yield whole.slice(0, stop)
-            held, size = [whole.slice(stop)], size - stop
-    if size:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            lead = batch.column("suffix")
+            last = lead[batch.num_rows - 1].as_py()[:GRAM]
+            stop = bisect_left(range(batch.num_rows), last, key=lambda i: lead[i].as_py()[:GRAM])
+            goes_on = not stop and held and held[-1].column("suffix")[-1].as_py()[:GRAM] == last
+            if not goes_on:
+                done = [*held, batch.slice(0, stop)] if stop else held
+                if done:
+                    yield one_batch(done)
+                held, size, batch = [], batch.num_rows - stop, batch.slice(stop)
+        held.append(batch)
+    if held:
+        yield one_batch(held)
+
+
+def one_batch(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Batches as one. Arrow splits what is over 2 GB: that is an error here, never a loss."""
+    (whole,) = pa.Table.from_batches(parts).combine_chunks().to_batches()
+    return whole
 
 
 def compared(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import random
 
 import numpy as np
 import pytest
@@ -205,3 +206,30 @@ def test_an_index_is_opened_again_and_repeated_inserts_count_once(spark, tmp_pat
     assert again.references().count() == 0 and dropped(again) == 0
     again.insert(docs.where("doc_id = 0"))
     assert dropped(line_dedup.LineIndex(spark, path, shards=2)) == 4
+
+
+def test_leads_stay_whole_in_linear_time():
+    import time
+
+    import pyarrow as pa
+
+    def batches(leads, step):
+        flat = sorted(leads)
+        for i in range(0, len(flat), step):
+            part = flat[i:i + step]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x + b"tail" for x in part]), pa.array(range(len(part)))], ["suffix", "spot"])
+
+    rng = random.Random(3)
+    leads = [bytes([rng.randrange(6)]) * 32 for _ in range(900)]
+    for least in (1, 7, 300, 10**6):
+        got = list(suffix_dedup.whole_leads(batches(leads, 11), least))
+        assert sum(b.num_rows for b in got) == len(leads)
+        seen = [{v.as_py()[:32] for v in b.column("suffix")} for b in got]
+        assert sum(map(len, seen)) == len(set(leads))  # no lead is in two
+    times = []
+    for n in (100_000, 400_000):
+        start = time.process_time()
+        list(suffix_dedup.whole_leads(batches([b"x" * 32] * n, 1000), 1000))
+        times.append(time.process_time() - start)
+    assert times[1] < 12 * max(times[0], 0.05)
