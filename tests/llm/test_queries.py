@@ -36,7 +36,7 @@ def test_query(spark, tiny, name):
         assert kinds[column] == (kind or "bigint")
     rows = got.toPandas()
     if "doc_id" in kinds and name not in ("op3_decontamination", "op9_packing"):
-        n = duckdb.sql(f"SELECT count(*) FROM '{tiny}/documents.parquet'").fetchone()[0]
+        n = duckdb.sql(f"SELECT count(*) FROM '{tiny}/documents.parquet'").fetchall()[0][0]
         assert len(rows) == n and rows.doc_id.is_unique
     if name == "op5_chat_format":
         assert (rows.conv_id == -1).sum() == 1 and rows.conv_id.is_unique
