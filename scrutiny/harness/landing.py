@@ -653,6 +653,25 @@ def _(t):
         F.sum("nvotos").alias("nvotos"))
 
 
+@query("clustered_build", "B02 B03 B04 B06 B08 J4", """
+SELECT count(*) AS filas, count(DISTINCT v.idActa) AS actas, CAST(sum(nvotos) AS BIGINT) AS nvotos
+FROM {votos} v JOIN (SELECT idActa, max(run_ts_ms) AS m FROM {cab_facts} GROUP BY idActa) w
+  ON v.idActa = w.idActa AND v.run_ts_ms = w.m
+JOIN {cab_facts} f ON f.idActa = w.idActa AND f.run_ts_ms = w.m""")
+def _(t):
+    base = scratch_path(t.spark, "lake")
+    for table, view in (("actas_cabecera", "cab_facts"), ("actas_votos", "votos")):
+        t(view).withColumn("snapshot_date", F.lit("2026-04-18")).write.partitionBy(
+            "snapshot_date", "run_ts_ms").parquet(f"{base}/facts/{table}")
+    database = "curated_" + base.rsplit("-", 1)[-1]
+    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/warehouse'")
+    out = curate.build_clustered(
+        t.spark, f"{base}/facts", f"{base}/curated", t("mesas"), database, buckets=8)
+    return t.spark.read.parquet(out["actas_votos_tidy"]).agg(
+        F.count(F.lit(1)).alias("filas"), F.countDistinct("idActa").alias("actas"),
+        F.sum("nvotos").alias("nvotos"))
+
+
 def _package(t, table: str, folder: str, name: str, content: str) -> str:
     """Files of one line each, in a folder for each value of a column; Spark names the files."""
     base = scratch_path(t.spark, "release")

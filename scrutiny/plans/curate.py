@@ -12,6 +12,7 @@ from scrutiny.functions.scalars import electoral_district
 from scrutiny.operators.filters import drop_legacy, drop_run_columns, in_scopes
 from scrutiny.operators.versions import first_per_key, keep_runs, latest_runs
 from scrutiny.session import scratch_path
+from scrutiny.sinks.clustered import BUCKETS, write_clustered
 from scrutiny.sinks.tables import delete_path, replace_table, write_table
 from scrutiny.sources.tables import read_facts, read_relaxed, table_exists
 
@@ -194,3 +195,32 @@ def build_curated(spark: SparkSession, facts: str, curated: str,
         )
     delete_path(spark, winners_path)
     return out
+
+
+def build_clustered(spark: SparkSession, facts: str, curated: str, stations: DataFrame,
+                    database: str = "default", buckets: int = BUCKETS) -> Mapping[str, str]:
+    """The curation with header, children and tidy votes clustered by acta; the tables' names.
+
+    Header and children have the same buckets, so the tidy votes (and any later join or count
+    by acta) are made bucket by bucket: the votes are shuffled once, when their bucketed table is
+    written. Facts are scanned by their contract.
+    """
+    header_facts = drop_legacy(read_facts(spark, f"{facts}/actas_cabecera", "actas_cabecera"))
+    winners_path = scratch_path(spark, "winners")
+    write_table(latest_runs(header_facts), winners_path)
+    winners = spark.read.parquet(winners_path)
+
+    def write(df: DataFrame, table: str) -> DataFrame:
+        return write_clustered(df, f"{database}.{table}", f"{curated}/{table}", "idActa", buckets)
+
+    header = write(
+        enrich_header(drop_run_columns(keep_runs(header_facts, winners)), stations), "actas_cabecera")
+    written = ["actas_cabecera"]
+    for table in CHILD_TABLES:
+        if table == "actas_votos" or table_exists(spark, f"{facts}/{table}"):
+            write(curate_child(read_facts(spark, f"{facts}/{table}", table), winners), table)
+            written.append(table)
+    tidy = tidy_votes(spark.table(f"{database}.actas_votos"), header)
+    tidy.write.mode("overwrite").option("compression", "zstd").parquet(f"{curated}/actas_votos_tidy")
+    delete_path(spark, winners_path)
+    return {**{t: f"{database}.{t}" for t in written}, "actas_votos_tidy": f"{curated}/actas_votos_tidy"}

@@ -28,12 +28,9 @@ def alert_batch(batch: DataFrame, batch_id: int, path: str, previous: DataFrame,
     """Report the entries of a batch whose address is new; an address counts once.
 
     Of several entries with one address the smallest row is reported; entries without an
-    address can't be told apart and are left out. A batch that the base holds was reported
-    before the base was made, so its replay has nothing to do.
+    address can't be told apart and are left out.
     """
     spark = batch.sparkSession
-    if batch_id <= log.mark(spark, f"{path}/known"):
-        return
     order = [n for n in batch.columns if n != "url"]
     first = (batch.where(F.col("url").isNotNull()).groupBy("url")
              .agg(F.min(F.struct(*order)).alias("row"))

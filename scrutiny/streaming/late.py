@@ -24,6 +24,7 @@ SNAPSHOT_DDL = ("idEleccion bigint, snapshot_ts timestamp_ntz, contabilizadas bi
                 "totalActas bigint, pct double")
 WINDOW_DDL = ("window_start timestamp_ntz, idEleccion bigint, contabilizadas bigint, "
               "totalActas bigint, pct double, n bigint")
+NEWEST_DDL = "newest timestamp_ntz"
 KEYS = ["window_start", "idEleccion"]
 
 
@@ -38,12 +39,12 @@ def _days(spark: SparkSession, path: str, days: list[str], batch_id: int) -> Dat
     return rows.where(F.col(log.BATCH) < batch_id)
 
 
-def _newest_before(spark: SparkSession, path: str, batch_id: int):
+def _newest_before(spark: SparkSession, path: str, batch_id: int, every: int):
     """The newest snapshot time that earlier batches have seen."""
-    if not path_exists(spark, path):
-        return None
-    rows = spark.read.schema(f"newest timestamp_ntz, {log.BATCH} bigint").parquet(path)
-    return rows.where(F.col(log.BATCH) < batch_id).agg(F.max("newest")).first()[0]
+    log.compact_when_due(
+        spark, path, NEWEST_DDL, batch_id, every, lambda df: df.agg(
+            F.max("newest").alias("newest"), F.max(log.BATCH).alias(log.BATCH)))
+    return log.read_log(spark, path, NEWEST_DDL, batch_id).agg(F.max("newest")).first()[0]
 
 
 def store_batch(batch: DataFrame, batch_id: int, path: str, every: int = 20,
@@ -75,11 +76,11 @@ def store_batch(batch: DataFrame, batch_id: int, path: str, every: int = 20,
          .option("partitionOverwriteMode", "dynamic").partitionBy(DAY, log.BATCH)
          .option("compression", "zstd").parquet(f"{path}/snapshots"))
 
-        newest = _newest_before(spark, f"{path}/newest", batch_id)
+        newest = _newest_before(spark, f"{path}/newest", batch_id, every)
         if newest is not None:
             limit = F.lit(newest) - F.expr(f"INTERVAL {LATE_SECONDS} SECONDS")
             overwrite_batch(fresh.where(F.col("snapshot_ts") < limit).drop(DAY), f"{path}/late", batch_id)
-        overwrite_batch(rows.agg(F.max("snapshot_ts").alias("newest")), f"{path}/newest", batch_id)
+        log.append(rows.agg(F.max("snapshot_ts").alias("newest")), f"{path}/newest", batch_id)
 
         known = fresh.drop(DAY)
         if before is not None:

@@ -46,11 +46,8 @@ def batches(spark: SparkSession, path: str) -> list[int]:
 
 
 def read_log(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
-    """All rows with the batch they came from; ``before`` leaves out that batch and later ones.
-
-    The base of a log that is read ``before`` a batch it already holds has that batch inside:
-    callers whose result depends on it use rows that are the same with and without (keys).
-    """
+    """All rows with the batch they came from; ``before`` leaves out that batch and later ones
+    (the base never holds the running one, see ``compact_when_due``)."""
     delta = _root(path, "delta")
     base = current(spark, _root(path, "base"))
     from_mark = int(base["mark"]) if base else -1
@@ -68,17 +65,19 @@ def read_log(spark: SparkSession, path: str, schema: str, before: int | None = N
 
 
 def compact(spark: SparkSession, path: str, schema: str,
-            reduce: Callable[[DataFrame], DataFrame]) -> int:
-    """Put base and batches together into a new base; its high-water mark.
+            reduce: Callable[[DataFrame], DataFrame], before: int | None = None) -> int:
+    """Put base and batches (those ``before`` one, if given) together into a new base; its
+    high-water mark.
 
     ``reduce`` gets and returns rows with ``batch_id``. A failure before the commit leaves the
     old base and all batches in place.
     """
-    old, known = mark(spark, path), batches(spark, path)
+    old = mark(spark, path)
+    known = [b for b in batches(spark, path) if before is None or b < before]
     new = max([old, *known])
     if new == old:
         return old
-    publish(reduce(read_log(spark, path, schema)), _root(path, "base"), mark=new)
+    publish(reduce(read_log(spark, path, schema, before)), _root(path, "base"), mark=new)
     for b in known:
         if b <= old:
             delete_path(spark, f"{_root(path, 'delta')}/{BATCH}={b}")
@@ -88,9 +87,13 @@ def compact(spark: SparkSession, path: str, schema: str,
 
 def compact_when_due(spark: SparkSession, path: str, schema: str, batch_id: int, every: int,
                      reduce: Callable[[DataFrame], DataFrame]) -> None:
-    """Compact if ``every`` batches have come since the last time."""
-    if every and batch_id - mark(spark, path) >= every:
-        compact(spark, path, schema, reduce)
+    """Compact if more than ``every`` batches have come since the last time.
+
+    Only batches before the running one go in: those are committed for good, so a replay of the
+    running one finds a base without it.
+    """
+    if every and batch_id - 1 - mark(spark, path) >= every:
+        compact(spark, path, schema, reduce, batch_id)
 
 
 def newest(df: DataFrame, keys: list[str]) -> DataFrame:
