@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scrutiny.harness.fixtures import Tables
 from scrutiny.operators import filters, versions
-from scrutiny.plans import anomalies, curate, export, ingest
+from scrutiny.plans import anomalies, curate, dq, export, ingest
 from scrutiny.session import scratch_path
 from scrutiny.sinks.tables import write_table
 from scrutiny.sources.documents import parse_documents
@@ -111,3 +111,29 @@ def test_last_record_and_winner_on_a_hot_key(spark):
         key = 0 if i % 3 == 0 else i % 97
         brute[key] = max(brute.get(key, (-1, -1)), (i % 1000, i))
     assert got == brute
+
+
+def test_the_report_reads_votes_through_two_cubes(stored):
+    cab, votes = stored["cab"], stored["votos"]
+    files = set(votes.inputFiles())
+    official = votes.filter("NOT es_especial").groupBy("idEleccion", "ubigeoDistrito", "ccodigo").agg(
+        F.sum("nvotos").alias("votos"))
+    parties = votes.groupBy("idEleccion", F.lit(1).cast("bigint").alias("snapshot_ts_ms"),
+                            F.col("ccodigo").alias("codigoAgrupacionPolitica")).agg(
+        F.sum("nvotos").alias("totalVotosValidos"))
+    assert plan(dq.acta_cube(votes)).count("FileScan parquet") == 1
+    assert len(set(dq.place_cube(votes, cab).inputFiles()) & files) == len(files)
+    report = dq.report(cab, votes, level=1)
+    assert not set(report.inputFiles()) & files  # only the stored cubes
+    two = cab.unionByName(cab.limit(5))  # some actas stand twice in the header
+    acta, place = dq.acta_cube(votes), dq.place_cube(votes, two)
+    for with_cube, direct in (
+        (dq.check_votes(votes, cab, acta), dq.check_votes(votes, cab)),
+        (dq.check_parties(votes, parties, acta), dq.check_parties(votes, parties)),
+        (dq.reconcile_with_official(votes, two, official, place),
+         dq.reconcile_with_official(votes, two, official)),
+    ):
+        assert sorted(map(str, with_cube.collect())) == sorted(map(str, direct.collect()))
+    by_district = parties.withColumn("idDistritoElectoral", F.lit(15).cast("bigint"))
+    assert sorted(map(str, dq.party_drift_by_district(votes, two, by_district, place).collect())) == sorted(
+        map(str, dq.party_drift_by_district(votes, two, by_district).collect()))
