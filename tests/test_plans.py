@@ -137,3 +137,13 @@ def test_the_report_reads_votes_through_two_cubes(stored):
     by_district = parties.withColumn("idDistritoElectoral", F.lit(15).cast("bigint"))
     assert sorted(map(str, dq.party_drift_by_district(votes, two, by_district, place).collect())) == sorted(
         map(str, dq.party_drift_by_district(votes, two, by_district).collect()))
+
+
+def test_distinct_actas_need_no_shuffle_of_their_own(stored, no_broadcast):
+    text = plan(export.export_district_summary(stored["votos"], stored["cab"]))
+    exchanges = re.findall(r"Exchange (\w+)\(([^\n]*)", text)
+    assert "Expand" not in text
+    # One for each side of the join; the counts by place come after a partial count.
+    assert sum(kind == "hashpartitioning" and keys.startswith("idActa#") for kind, keys in exchanges) == 2
+    assert not any("idActa#" in keys.split(", ENSURE")[0] for kind, keys in exchanges
+                   if not keys.startswith("idActa#"))
