@@ -24,8 +24,10 @@ def keep_runs(facts: DataFrame, winners: DataFrame, key: str = "idActa",
 
     A left-semi join rather than a window: a key with a third of the rows is one sort
     group for a window, while adaptive execution splits the probe side of this join.
+    Winners are as many as there are keys: a compressed scan may look small enough to be
+    broadcast, which would bring all of them to the driver, so the join is a merge.
     """
-    return facts.join(winners.select(key, run), [key, run], "left_semi")
+    return facts.join(winners.select(key, run).hint("merge"), [key, run], "left_semi")
 
 
 def last_snapshot(df: DataFrame, ts: str = "snapshot_ts_ms") -> DataFrame:
