@@ -305,6 +305,13 @@ def regional_tolerance(total: Column, regions: Column) -> Column:
     return F.greatest(F.lit(10).cast("bigint"), F.floor(mean).cast("bigint"))
 
 
+def ratio(part: Column, whole: Column) -> Column:
+    """``part / whole`` of floating point: over zero an infinity or NaN, not an error; null of null."""
+    over_zero = (F.when(part > 0, F.lit(float("inf"))).when(part < 0, F.lit(float("-inf")))
+                 .when(part == 0, F.lit(float("nan"))))
+    return F.when(whole == 0, over_zero).otherwise(F.try_divide(part, whole))
+
+
 def clipped_pct(value: Column, digits: int = 2) -> Column:
     return F.round(F.least(value, F.lit(100.0)), digits)
 

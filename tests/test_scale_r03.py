@@ -48,3 +48,15 @@ def test_documents_without_a_key_are_parsed_once(spark):
 
     assert keys(best) == [(0, True), (0, True), (1, True), (2, False), (3, True), (4, False)]
     assert keys(ingest.best_documents(parsed, done)) == [(0, True), (0, True), (1, True)]
+
+
+def test_a_ratio_over_zero_is_no_error(spark):
+    rows = spark.createDataFrame(
+        [(1, 3, 0), (2, 0, 0), (3, -3, 0), (4, None, 0), (5, 1, 4), (6, 1, None)],
+        "id bigint, a bigint, b bigint")
+    found = dict(rows.select("id", scalars.ratio(F.col("a") * F.lit(1.0), F.col("b"))).collect())
+    assert math.isnan(found.pop(2))
+    assert found == {1: math.inf, 3: -math.inf, 4: None, 5: 0.25, 6: None}
+    clipped = rows.where("id <= 3").select(
+        scalars.clipped_pct(scalars.ratio(F.col("a") * F.lit(1.0), F.col("b"))))
+    assert [r[0] for r in clipped.collect()] == [100.0, 100.0, -math.inf]
