@@ -15,7 +15,7 @@ from scrutiny.functions.scalars import lima_date
 from scrutiny.operators.contract_checks import coerce_null_columns, contract_violations
 from scrutiny.operators.unions import union_all
 from scrutiny.sources.files import CSV_FORMAT, read_official_csv
-from scrutiny.sources.tables import SNAPSHOT, file_schemas, partition_keys, read_relaxed
+from scrutiny.sources.tables import APPEND, APPENDS, SNAPSHOT, file_schemas, partition_keys, read_relaxed
 
 
 def _fs(spark: SparkSession, path: str):
@@ -47,22 +47,33 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def append_snapshot(df: DataFrame, base: str, table: str, ts: str = "snapshot_ts_ms") -> str:
-    """Append a snapshot, partitioned by its local date and its time.
+    """Append a snapshot, or many of them, partitioned by local date and number of the append.
 
-    The time's partition is written as a whole, so appending a snapshot again (a retry)
-    leaves one copy of it; other snapshots are not touched.
+    Folders are as many as days and appends, however many snapshots an append brings. What is
+    there is not touched: appending a snapshot again (a retry) adds a later copy, and readers
+    take the last copy of each snapshot.
     """
     path = f"{base.rstrip('/')}/{table}"
+    number = _next_append(df.sparkSession, path)
     (
         coerce_null_columns(df)
-        .withColumns({"snapshot_date": lima_date(ts), SNAPSHOT: F.col(ts)})
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("snapshot_date", SNAPSHOT)
+        .withColumns({"snapshot_date": lima_date(ts), SNAPSHOT: F.col(ts), APPEND: F.lit(number)})
+        .write.mode("append").partitionBy("snapshot_date", APPEND)
         .option("compression", "zstd").parquet(path)
     )
     return path
 
 
+def _next_append(spark: SparkSession, path: str) -> int:
+    """Claim a number larger than those of all appends before."""
+    fs, folder = _fs(spark, f"{path}/{APPENDS}")
+    taken = [int(x.getPath().getName()) for x in fs.listStatus(folder)] if fs.exists(folder) else []
+    number = max(taken, default=0) + 1
+    _, claim = _fs(spark, f"{path}/{APPENDS}/{number:012d}")
+    fs.create(claim, False).close()  # fails if another writer was first
+    return number
+
+
 def write_run(tables: Mapping[str, DataFrame], base: str, run_ts_ms: int,
               batch_id: int = 0) -> list[str]:
     """Write the fact tables of one run (or of one batch of it) under

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -16,9 +17,15 @@ from scrutiny.operators.unions import union_relaxed
 #: Run-versioned facts: partition columns, pinned so that dates stay text.
 RUN_PARTITIONS = "snapshot_date string, run_ts_ms bigint"
 
-#: Partition of a snapshot in a time series: its time again, so that rows keep theirs.
+#: Time of a snapshot in a time series once more, under a name that does not depend on the table.
 SNAPSHOT = "snapshot"
 
+#: Number of the append that wrote a snapshot: a partition below the day's. A later append of the
+#: same snapshot counts instead of the earlier one.
+APPEND = "append"
+#: Folder in a series with a file for each append.
+APPENDS = "_appends"
+
 _FOOTERS_PER_TASK = 256
 
 
@@ -29,8 +36,20 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
 
 
 def read_series(spark: SparkSession, base: str, merge: bool = False) -> DataFrame:
-    """All snapshots of a time-series fact. ``merge`` adds columns of newer files."""
-    return _series(spark, base, merge).drop(SNAPSHOT)
+    """All snapshots of a time-series fact. ``merge`` adds columns of newer files.
+
+    Of a snapshot that was appended again only the last copy counts.
+    """
+    from scrutiny.sinks.commits import folder_names
+
+    df = _series(spark, base, merge)
+    if APPEND in df.columns and len(folder_names(spark, f"{base.rstrip('/')}/{APPENDS}")) != 1:
+        times = df.groupBy(F.col(SNAPSHOT).alias("_time")).agg(
+            F.min(APPEND).alias("_first"), F.max(APPEND).alias("_last"))
+        again = times.where("_first < _last").hint("merge")
+        df = df.join(again, F.col(SNAPSHOT).eqNullSafe(F.col("_time"))
+                     & (F.col(APPEND) < F.col("_last")), "left_anti")
+    return df.drop(SNAPSHOT, APPEND)
 
 
 def _series(spark: SparkSession, base: str, merge: bool = False) -> DataFrame:
@@ -44,18 +63,31 @@ def _series(spark: SparkSession, base: str, merge: bool = False) -> DataFrame:
 def read_newest(spark: SparkSession, base: str, n: int = 1) -> DataFrame:
     """Rows of the newest ``n`` snapshots of a series written by ``append_snapshot``.
 
-    Which those are is known from folder names; the scan opens their partitions only.
+    The newest days are known from folder names, and which of their snapshots count from one
+    narrow aggregate over them; the scan opens the partitions of those only.
     """
     from scrutiny.sinks.commits import folder_names
 
-    base = base.rstrip("/")
-    found: list[int] = []
-    for day in reversed(folder_names(spark, base)):  # newest day first, as few as are needed
-        if day.startswith("snapshot_date=") and len(found) < n:
-            times = (name.partition("=") for name in folder_names(spark, f"{base}/{day}"))
-            found += sorted((int(t) for key, _, t in times if key == SNAPSHOT and t.isdigit()),
-                            reverse=True)[:n - len(found)]
-    return _series(spark, base).where(F.col(SNAPSHOT).isin(found)).drop(SNAPSHOT)
+    df = _series(spark, base)
+    days = [d.partition("=")[2] for d in reversed(folder_names(spark, base.rstrip("/")))
+            if re.fullmatch(r"snapshot_date=[-+\d]+", d)]
+    found, take = [], max(n, 1)
+    while len(found) < n:  # a day has one snapshot at least, unless its write was broken off
+        found = (df.where(F.col("snapshot_date").isin(days[:take]) & F.col(SNAPSHOT).isNotNull())
+                 .groupBy("snapshot_date", SNAPSHOT).agg(F.max(APPEND).alias(APPEND))
+                 .orderBy(F.col(SNAPSHOT).desc()).limit(n).collect())
+        if take >= len(days):
+            break
+        take *= 2
+    wanted: dict[tuple[str, int], list[int]] = {}
+    for row in found:
+        wanted.setdefault((row["snapshot_date"], row[APPEND]), []).append(row[SNAPSHOT])
+    match = F.lit(False)
+    for (_, append), times in wanted.items():
+        match = match | ((F.col(APPEND) == append) & F.col(SNAPSHOT).isin(times))
+    return df.where(
+        F.col("snapshot_date").isin([d for d, _ in wanted]) & F.col(APPEND).isin([a for _, a in wanted])
+        & match).drop(SNAPSHOT, APPEND)
 
 
 def read_facts(spark: SparkSession, base: str, table: str) -> DataFrame:

@@ -60,3 +60,27 @@ def test_a_ratio_over_zero_is_no_error(spark):
     clipped = rows.where("id <= 3").select(
         scalars.clipped_pct(scalars.ratio(F.col("a") * F.lit(1.0), F.col("b"))))
     assert [r[0] for r in clipped.collect()] == [100.0, 100.0, -math.inf]
+
+
+def test_folders_of_a_series_are_days_not_snapshots(spark, lake):
+    many = spark.range(500).selectExpr("id", f"{RUN} + id * 1000 AS snapshot_ts_ms")
+    path = sinks.append_snapshot(many, lake, "totales")
+    assert len([n for n in os.listdir(path) if n.startswith("snapshot_date=")]) == 1
+    days = [d for d, _, names in os.walk(path) if any(n.endswith(".parquet") for n in names)]
+    assert len(days) == 1
+    assert tables.read_series(spark, path).count() == 500
+
+
+def test_the_last_copy_of_a_snapshot_counts(spark, lake):
+    ddl = "id bigint, snapshot_ts_ms bigint"
+    first = [(1, RUN), (2, RUN), (3, RUN + 1), (4, RUN + 5 * DAY), (5, None)]
+    sinks.append_snapshot(spark.createDataFrame(first, ddl), lake, "totales")
+    path = sinks.append_snapshot(spark.createDataFrame([(6, RUN), (7, None)], ddl), lake, "totales")
+    rows = tables.read_series(spark, path)
+    assert sorted(r["id"] for r in rows.collect()) == [3, 4, 6, 7]
+    assert set(rows.columns) == {"id", "snapshot_ts_ms", "snapshot_date"}
+
+    def newest(n):
+        return sorted(r["id"] for r in tables.read_newest(spark, path, n).collect())
+
+    assert [newest(n) for n in (1, 2, 3, 9)] == [[4], [3, 4], [3, 4, 6], [3, 4, 6]]
