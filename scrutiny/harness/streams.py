@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scrutiny.harness.landing import _ENTRIES, _OK, RUN_MS, _BASE, _catalogue_pages, _landed
+from scrutiny.harness.landing import _ENTRIES, _OK, RUN_MS, _BASE, _catalogue_pages, _land, _landed
 from scrutiny.harness.registry import query
 from scrutiny.operators import filters
 from scrutiny.session import scratch_path
@@ -60,7 +60,7 @@ def _(t):
 
 def _landed_files(t) -> str:
     path = scratch_path(t.spark, "landed")
-    _landed(t).write.json(path)
+    _land(_landed(t), path)
     return path
 
 
@@ -79,9 +79,9 @@ def _(t):
     out = scratch_path(spark, "ingest")
     # The same documents land twice: the second copy must change nothing.
     landed_again = f"{landed}/again"
-    spark.read.schema(ingest.LANDED_DDL).json(landed).write.json(landed_again)
+    _land(spark.read.schema(ingest.LANDED_DDL).json(landed), landed_again)
     common.run_available(ingest.ingest_stream(
-        spark, f"{landed}/{{*,again/*}}.json", out, f"{out}/_checkpoint", RUN_MS))
+        spark, f"{landed}/{{*,again/*}}.json*", out, f"{out}/_checkpoint", RUN_MS))
     counts = [
         spark.read.parquet(f"{out}/{name}").agg(F.count(F.lit(1)).alias("filas")).select(
             F.lit(name).alias("tabla"), "filas")

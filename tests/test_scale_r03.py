@@ -84,3 +84,11 @@ def test_the_last_copy_of_a_snapshot_counts(spark, lake):
         return sorted(r["id"] for r in tables.read_newest(spark, path, n).collect())
 
     assert [newest(n) for n in (1, 2, 3, 9)] == [[4], [3, 4], [3, 4, 6], [3, 4, 6]]
+
+
+def test_landed_files_are_compressed_and_bounded(spark, tmp_path):
+    rows = spark.range(100_001).coalesce(1).selectExpr("id AS req_acta_id", "'{}' AS body")
+    landing._land(rows, f"{tmp_path}/in")
+    names = [n for n in os.listdir(f"{tmp_path}/in") if n.startswith("part-")]
+    assert len(names) == 2 and all(n.endswith(".json.gz") for n in names)
+    assert spark.read.schema(ingest.LANDED_DDL).json(f"{tmp_path}/in").count() == 100_001
