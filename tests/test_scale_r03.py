@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from scrutiny.functions import scalars
 from scrutiny.harness import landing, logs
 from scrutiny.operators import versions
+from scrutiny.plans import export
 from scrutiny.sinks import tables as sinks
 from scrutiny.sources import documents, tables
 from scrutiny.streaming import ingest
@@ -108,3 +109,29 @@ def test_a_delivery_is_one_batch_of_many_files(spark, tmp_path):
         "checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start())
     assert seen == [(0, 40), (1, 20)]
     assert len([n for n in os.listdir(f"{tmp_path}/in/part0") if n.endswith(".parquet")]) == 4
+
+
+def test_a_task_of_the_summary_holds_bounded_rows(spark, monkeypatch):
+    monkeypatch.setattr(export, "ROWS_PER_TASK", 50)
+    votes = spark.range(2000).selectExpr(
+        "if(id < 20, null, id div 4) AS idActa", "10L AS idEleccion", "'140101' AS ubigeoDistrito",
+        "concat('P', id % 3) AS descripcion", "lpad(id % 3, 8, '0') AS ccodigo", "false AS es_especial",
+        "if(id % 9 = 0, null, id) AS nvotos", "0D AS nporcentajeVotosValidos", "0D AS nporcentajeVotosEmitidos")
+    header = spark.range(600).selectExpr(
+        "if(id = 599, 7, id) AS idActa", "'1' AS codigoMesa", "'L' AS nombreLocalVotacion",
+        "if(id % 5 = 0, null, id) AS totalElectoresHabiles", "id AS totalVotosEmitidos",
+        "id AS totalVotosValidos", "id AS totalAsistentes", "1D AS porcentajeParticipacionCiudadana",
+        "'C' AS codigoEstadoActa", "'140000' AS ubigeoDepartamento", "'140100' AS ubigeoProvincia",
+        "if(id % 2 = 0, null, 'LIMA') AS nombreDistrito", "1L AS idAmbitoGeografico",
+        "15L AS idDistritoElectoral")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt = export.export_district_summary(votes, header)
+        plain = export.export_district_summary(votes, header, clustered=True)
+        rows = dealt.collect()
+        assert rows == plain.collect() and len(rows) == 6 and sum(r["actas"] for r in rows) > 495
+        assert plan_of(dealt).count(", 40), REPARTITION_BY_NUM") and "hashpartitioning(idActa" in plan_of(dealt)
+        assert "REPARTITION_BY_NUM" not in plan_of(plain)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
