@@ -17,6 +17,10 @@ from scrutiny.operators.unions import union_all
 from scrutiny.sources.files import CSV_FORMAT, read_official_csv
 from scrutiny.sources.tables import APPEND, APPENDS, SNAPSHOT, file_schemas, partition_keys, read_relaxed
 
+#: Folders that a task of a partitioned write keeps open at once.
+OPEN_FOLDERS = 32
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 def _fs(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -46,6 +50,25 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
+def write_by_folder(df: DataFrame, path: str, *keys: str) -> None:
+    """Write rows to a folder for each value of the keys, straight from their tasks.
+
+    By itself Spark sorts the rows of a task by folder, to have one file open at a time; a task
+    that reads much then spills all it reads. Runs are few, so a task keeps a file open for each
+    of them, and only rows of folders beyond ``OPEN_FOLDERS`` are sorted. A session that sets
+    the number of open files keeps its own.
+    """
+    conf = df.sparkSession.conf
+    own = conf.get(_WRITERS, None)
+    if own is None:
+        conf.set(_WRITERS, str(OPEN_FOLDERS))
+    try:
+        df.write.partitionBy(*keys).option("compression", "zstd").parquet(path)
+    finally:
+        if own is None:
+            conf.unset(_WRITERS)
+
+
 def append_snapshot(df: DataFrame, base: str, table: str, ts: str = "snapshot_ts_ms") -> str:
     """Append a snapshot, or many of them, partitioned by local date and number of the append.
 

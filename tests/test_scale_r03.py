@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from scrutiny.functions import scalars
@@ -135,3 +136,22 @@ def test_a_task_of_the_summary_holds_bounded_rows(spark, monkeypatch):
         assert "REPARTITION_BY_NUM" not in plan_of(plain)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rows_of_few_folders_are_written_unsorted(spark, tmp_path, monkeypatch):
+    setting, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **b: (
+        seen.append(spark.conf.get(setting, None)), write(self, *a, **b))[1])
+    rows = spark.range(900).selectExpr("id", "nullif(id % 50, 49) AS run_ts_ms", "'d' AS snapshot_date")
+    sinks.write_by_folder(rows, f"{tmp_path}/facts", "snapshot_date", "run_ts_ms")
+    assert seen == ["32"] and spark.conf.get(setting, None) is None
+    stored = spark.read.parquet(f"{tmp_path}/facts").select("id", "run_ts_ms", "snapshot_date")
+    assert sorted(r["id"] for r in stored.collect()) == list(range(900))  # 50 folders, more than are open at once
+    assert not stored.where("NOT run_ts_ms <=> nullif(id % 50, 49)").head(1)
+    spark.conf.set(setting, "5")
+    try:
+        sinks.write_by_folder(rows, f"{tmp_path}/again", "run_ts_ms")
+        assert seen[1:] == ["5"] and spark.conf.get(setting) == "5"
+    finally:
+        spark.conf.unset(setting)
