@@ -6,7 +6,7 @@ number of rounds grows with the logarithm of the longest chain.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from scrutiny.llm.common import stored
@@ -14,20 +14,29 @@ from scrutiny.llm.common import stored
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60) -> DataFrame:
     """``node, component`` (the smallest node of its component) of every node with an edge."""
+    found = stars(edges, a, b, most)
+    return found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
+
+
+def stars(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60) -> DataFrame:
+    """The same without the rows of the smallest nodes themselves.
+
+    A round tells its rows and their hash as it is written; no job reads them again for that.
+    """
     now = stored(_directed(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))), "graph")
     before = None
     for _ in range(most):
-        now = stored(_small_star(_large_star(now)), "graph")
-        mark = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-                       .alias("h")).first()
+        seen = Observation()
+        now = stored(_small_star(_large_star(now)).observe(
+            seen, F.count(F.lit(1)).alias("n"),
+            F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")), "graph")
+        mark = seen.get
         if mark == before:
             break
         before = mark
     else:
         raise RuntimeError(f"no stable components after {most} rounds")
-    stars = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return stars.unionByName(roots)
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
 def _directed(edges: DataFrame) -> DataFrame:

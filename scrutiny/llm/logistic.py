@@ -16,7 +16,8 @@ def fit_dense(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4,
     x = x.astype(np.float32, copy=False)
     w, look = np.zeros(x.shape[1], np.float32), np.zeros(x.shape[1], np.float32)
     bias = bias_look = 0.0
-    rate = 1 / (0.25 * (np.square(x).sum(1).max() + 1) + ridge)
+    longest = max((np.square(x[at:at + 256]).sum(1).max() for at in range(0, len(x), 256)), default=0)
+    rate = 1 / (0.25 * (longest + 1) + ridge)
     for step in range(steps):
         g = (sigmoid(x @ look + bias_look) - y) * weight
         new = look - np.float32(rate) * (g.astype(np.float32) @ x + np.float32(ridge) * look)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scrutiny.llm import logistic
-from scrutiny.llm.common import text_slices
+from scrutiny.llm.common import give_back, text_slices
 from scrutiny.llm.encoding import summed
 
 CHAR_DIMS = 4096
@@ -170,7 +170,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000,
             .mapInArrow(features, "doc_id bigint, quality int, toxic int, junk binary, words binary")
             .toArrow().sort_by("doc_id"))
     aside = np.array([zlib.crc32(str(i).encode()) % 4 == 0 for i in rows["doc_id"].to_pylist()], bool)
-    return Model(_fit_junk(rows, aside), _fit_toxic(rows, aside))
+    toxic_rows, rows = rows.select(["toxic", "words"]), rows.select(["quality", "junk"])
+    junk = _fit_junk(rows, aside)
+    del rows
+    give_back()
+    toxic = _fit_toxic(toxic_rows, aside)
+    del toxic_rows
+    give_back()
+    return Model(junk, toxic)
+
+
+def _joined(column: pa.ChunkedArray, kind) -> np.ndarray:
+    """The bytes of all values in a row, without a Python object for each."""
+    return np.concatenate([np.zeros(0, kind), *(
+        np.frombuffer(c.buffers()[2] or b"", np.uint8)[ends[c.offset]:ends[c.offset + len(c)]].view(kind)
+        for c in column.cast(pa.binary()).chunks
+        for ends in [np.frombuffer(c.buffers()[1], np.int32)])])
 
 
 def _both_kinds(y: np.ndarray) -> bool:
@@ -190,7 +205,7 @@ def _fit_junk(rows: pa.Table, aside: np.ndarray) -> tuple | None:
     y = (some["quality"].to_numpy() == 0).astype(float)
     if not _both_kinds(y):
         return None
-    x = np.frombuffer(b"".join(some["junk"].to_pylist()), np.float16).reshape(len(y), -1)
+    x = _joined(some["junk"], np.float16).reshape(len(y), -1)
     train, test = _trained(aside[own.to_numpy()], y)
     w, bias = logistic.fit_dense(x[train].astype(np.float32), y[train])
     return (w, bias, *logistic.calibrated(x[test].astype(np.float32) @ w + bias, y[test]))
@@ -203,7 +218,7 @@ def _fit_toxic(rows: pa.Table, aside: np.ndarray, least: int = 3) -> tuple | Non
     if not _both_kinds(y):
         return None
     sizes = pc.binary_length(some["words"]).to_numpy().astype(np.int64) // 4
-    words = np.frombuffer(b"".join(some["words"].to_pylist()), "<u4")
+    words = _joined(some["words"], "<u4")
     seen, times = np.unique(words, return_counts=True)
     seen = seen[times >= least]
     if not len(seen):

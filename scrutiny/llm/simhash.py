@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scrutiny.llm.common import stored, text_slices
-from scrutiny.llm.components import components
-from scrutiny.llm.trie_join import apart, links
+from scrutiny.llm.components import components, stars
+from scrutiny.llm.trie_join import apart, links, parity, tied
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 ONES = np.uint64(0x0101010101010101)
@@ -142,17 +142,18 @@ def sketched(docs: DataFrame, seeds: tuple[int, ...] = SEEDS) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, shingles``: the distinct hashes of a text's word shingles. No shuffle."""
+    """``doc_id, shingles, parity``: the distinct hashes of a text's word shingles. No shuffle."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text", 1 << 20):
             sets = [np.unique(np.array(shingle_hashes(words_of(t or b""), size, 0), np.uint64))
-                    .view(np.int64) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+                    for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))],
-                ["doc_id", "shingles"])
+                [batch.column("doc_id"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                 pa.array(map(parity, sets), pa.binary())],
+                ["doc_id", "shingles", "parity"])
 
-    return _named(docs).mapInArrow(rows, "doc_id bigint, shingles array<bigint>")
+    return _named(docs).mapInArrow(rows, "doc_id bigint, shingles array<bigint>, parity binary")
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -167,47 +168,54 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: float = 0.8, budget:
     first (each text with its nearest in every bucket, and with one of its group), and only their
     texts are cut into shingles. A tie that fails decides nothing about others, so each text is
     then compared with the partner that most were similar to, and at last every pair within the
-    budget that is still between two groups. Rows that share an identifier are one document,
+    budget that is still between two groups. Of both, pairs that the parities of their shingle sets
+    show to be unlike come out of no walk. Rows that share an identifier are one document,
     similar to another if any of its texts is.
     """
     rows = stored(sketched(docs), "sketches")
-    copies = rows.groupBy("words_key").agg(F.min("doc_id").alias("node"))
-    owned = stored(rows.join(copies, "words_key").select("doc_id", "node", "fps"), "copies")
-    texts = owned.where("doc_id = node").select("node", "fps").distinct()
-    candidates = None
-    for k in range(len(SEEDS)):
-        each = texts.select("node", F.col("fps")[k].alias("fp"))
-        first = stored(each.groupBy("fp").agg(F.min("node").alias("node")), "fingerprint-nodes")
-        same = (each.join(first.withColumnRenamed("node", "first"), "fp").where("node <> first")
-                .select(F.col("first").alias("a"), F.col("node").alias("b")))
-        both = same.unionByName(links(first, budget).select("a", "b"))
-        candidates = both if candidates is None else candidates.unionByName(both)
-    pairs = stored(candidates.distinct(), "candidates")
+    copies = stored(rows.groupBy("words_key").agg(F.min("doc_id").alias("node"), F.count("*").alias("n"))
+                    .where("n > 1").drop("n"), "copies")
+    owned = stored(rows.join(copies, "words_key", "left").select(
+        "doc_id", F.coalesce("node", "doc_id").alias("node"), "fps"), "owned")
+    texts = stored(owned.where("doc_id = node").select("node", "fps").distinct(), "texts")
+    each = by_seed(texts)
+    first = stored(each.groupBy("seed", "fp").agg(F.min("node").alias("node")), "fingerprint-nodes")
+    same = (each.join(first.withColumnRenamed("node", "first"), ["seed", "fp"]).where("node <> first")
+            .select(F.col("first").alias("a"), F.col("node").alias("b")))
+    pairs = stored(same.unionByName(tied(first, budget).select("a", "b")).distinct(), "candidates")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     sets = stored(shingle_sets(docs.join(asked, "doc_id", "left_semi"), size), "shingles")
+    odd = F.when(F.min("parity") == F.max("parity"), F.min("parity"))  # null: several sets
+    nodes = stored(texts.join(sets.groupBy(F.col("doc_id").alias("node")).agg(
+        F.min(F.size("shingles")).cast("bigint").alias("low"),
+        F.max(F.size("shingles")).cast("bigint").alias("high"), odd.alias("parity")), "node"), "undecided")
     found = stored(verified(pairs, sets, least), "similar")
-    nodes = stored(texts.join(asked.withColumnRenamed("doc_id", "node"), "node", "left_semi").join(
-        sets.groupBy(F.col("doc_id").alias("node")).agg(
-            F.min(F.size("shingles")).cast("bigint").alias("low"),
-            F.max(F.size("shingles")).cast("bigint").alias("high")), "node")
-        .select("node", "low", "high", F.posexplode("fps").alias("seed", "fp")), "undecided")
+    whole = found
     for leading in (True, False):
-        more = stored(apart(labelled(nodes, found), budget, least, leading)
+        groups = stars(whole)
+        more = stored(apart(labelled(nodes, groups, found), budget, least, leading)
                       .join(pairs, ["a", "b"], "left_anti"), "candidates")
-        pairs = pairs.unionByName(more)
-        found = found.unionByName(stored(verified(more, sets, least), "similar"))
-    whole = found.unionByName(owned.where("doc_id <> node").select(
+        new = stored(verified(more, sets, least), "similar")
+        pairs, found = pairs.unionByName(more), found.unionByName(new)
+        whole = groups.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(new)
+    whole = whole.unionByName(owned.where("doc_id <> node").select(
         F.col("node").alias("a"), F.col("doc_id").alias("b")))
     return components(whole).withColumnsRenamed({"node": "doc_id", "component": "component_id"})
 
 
-def labelled(nodes: DataFrame, found: DataFrame) -> DataFrame:
-    """``nodes`` with the group that each is in by the pairs found, and with the number of its pairs."""
+def by_seed(texts: DataFrame) -> DataFrame:
+    """A row for each of a text's fingerprints: ``fp`` and its ``seed`` instead of ``fps``."""
+    each = texts.select(*(c for c in texts.columns if c != "fps"), F.posexplode("fps").alias("seed", "fp"))
+    return each.withColumn("seed", F.col("seed").cast("bigint"))
+
+
+def labelled(nodes: DataFrame, groups: DataFrame, found: DataFrame) -> DataFrame:
+    """``nodes`` by seed, with the group that each is in and with the number of its pairs found."""
     ends = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(
         F.count("*").alias("weight"))
-    return nodes.join(components(found), "node", "left").join(ends, "node", "left").select(
-        "node", "fp", F.col("seed").cast("bigint").alias("seed"), "low", "high",
-        F.coalesce("component", "node").alias("label"), F.coalesce("weight", F.lit(0)).alias("weight"))
+    return by_seed(nodes.join(groups, "node", "left").join(ends, "node", "left").select(
+        "node", "fps", "low", "high", "parity", F.coalesce("component", "node").alias("label"),
+        F.coalesce("weight", F.lit(0)).alias("weight")))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:

@@ -11,8 +11,11 @@ What comes out are not all pairs: in each bucket the members of a linked group a
 one of them, and each to its nearest, so the rows stay in proportion to the input however
 large a group is, and no connection is lost.
 
-``apart`` is for callers that check the pairs of a walk by a rule of their own, under which ties
+``apart`` is for callers that check the pairs of a walk by the similarity of sets, under which ties
 that fail leave others undecided: it gives the pairs between groups that are not connected yet.
+Nodes may bring the parities of their sets: of each class of elements (by hash) whether the set
+has an odd number. Two sets differ in at least as many elements as parities, so a pair whose
+parities differ in more than the similarity allows is left out, and no similar one is.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from scrutiny.llm.common import partitions
 WALK = 1 << 19  # pairs of nodes looked at together
 ROWS = 200_000  # fingerprints of whole buckets worked on together
 SMALL = 16  # pairs of leaves below which they are compared at once
+ROW_BYTES = 256  # longer rows count more than once
 
 
 def blocks(budget: int) -> list[tuple[int, int]]:
@@ -55,6 +59,12 @@ def links(nodes: DataFrame, budget: int = 4) -> DataFrame:
     The graph of these rows has the same connected groups as the graph of all pairs within
     the budget, and holds a nearest partner of each node for each bucket.
     """
+    return tied(nodes, budget).groupBy("a", "b").agg(F.min("bits").alias("bits"))
+
+
+def tied(nodes: DataFrame, budget: int) -> DataFrame:
+    """The rows of ``links``, some of them several times. With a column ``seed`` (one node for each
+    of its fingerprints) all seeds are walked in one pass."""
     cut = blocks(budget)
     choices = list(combinations(range(len(cut)), 2))
 
@@ -64,13 +74,12 @@ def links(nodes: DataFrame, budget: int = 4) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a), pa.array(b), pa.array(bits)], ["a", "b", "bits"])
 
-    return (dealt(nodes, cut, choices, ["fp", "node"])
-            .mapInArrow(walk, "a bigint, b bigint, bits int")
-            .groupBy("a", "b").agg(F.min("bits").alias("bits")))
+    return (dealt(nodes, cut, choices, [c for c in ("fp", "node", "seed") if c in nodes.columns])
+            .mapInArrow(walk, "a bigint, b bigint, bits int"))
 
 
 def dealt(nodes: DataFrame, cut: list, choices: list, columns: list[str]) -> DataFrame:
-    """Rows (bigint columns, one of them ``fp``) in every bucket of theirs, whole buckets together.
+    """Rows (one column is ``fp``) in every bucket of theirs, whole buckets together.
 
     Values of different ``seed``, if there is such a column, never meet.
     """
@@ -86,13 +95,13 @@ def dealt(nodes: DataFrame, cut: list, choices: list, columns: list[str]) -> Dat
                     wide = cut[i][1] + cut[j][1]
                     top = reordered(fp, [cut[i], cut[j]]) >> np.uint64(64 - wide)
                     keys.append((seed * n + c) << 40 | top.astype(np.int64))
+                again = pa.array(np.tile(np.arange(len(fp)), n))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys)),
-                     *(pa.array(np.tile(part.column(c).to_numpy(), n)) for c in columns)],
+                    [pa.array(np.concatenate(keys)), *(part.column(c).take(again) for c in columns)],
                     ["bucket", *columns])
 
-    return (nodes.select(*columns)
-            .mapInArrow(spread, ", ".join(f"{c} bigint" for c in ("bucket", *columns)))
+    kinds = ", ".join(f"{c} {nodes.schema[c].dataType.simpleString()}" for c in columns)
+    return (nodes.select(*columns).mapInArrow(spread, f"bucket bigint, {kinds}")
             .repartition(partitions(nodes.sparkSession), "bucket").sortWithinPartitions("bucket"))
 
 
@@ -100,17 +109,20 @@ def apart(nodes: DataFrame, budget: int, least: float, leading: bool) -> DataFra
     """``a, b``: pairs within the budget whose labels differ and whose sizes allow the similarity.
 
     ``nodes`` has ``node, fp, seed, label, low, high, weight``: any number of nodes for a
-    fingerprint, the range of a node's set sizes, and how much a node stands for others. With
+    fingerprint, the range of a node's set sizes, and how much a node stands for others. A column
+    ``parity`` (see ``parity``; null: unknown) leaves out pairs that cannot be similar. With
     ``leading`` only the heaviest partner of each node in each bucket comes out, else every pair.
     """
     cut = blocks(budget)
     choices = list(combinations(range(len(cut)), 2))
     columns = ["fp", "node", "seed", "label", "low", "high", "weight"]
+    columns += ["parity"] if "parity" in nodes.columns else []
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_buckets(batches, ("bucket", *columns)):
             rest, roots, depth, order = laid_out(rows[0], rows[1], cut, choices, rows[4])
-            bucket, fp, node, _, label, low, high, weight = (x[order] for x in rows)
+            bucket, fp, node, _, label, low, high, weight, *more = (x[order] for x in rows)
+            parities = Parities(more[0]) if more else None
             heavy = np.full(len(node), -1)
             own = (bucket >> 40) % len(choices)
             rank = np.empty(len(node), np.int64)  # heaviest first, then the smallest node
@@ -119,6 +131,10 @@ def apart(nodes: DataFrame, budget: int, least: float, leading: bool) -> DataFra
             for i, j, _ in close_pairs(rest, roots, depth, budget, label):
                 some = ((label[i] != label[j]) & (high[i] >= least * low[j]) & (high[j] >= least * low[i]))
                 i, j = i[some], j[some]
+                if parities:
+                    differ = parities.differ(i, j)
+                    some = differ * (1 + least) <= (high[i] + high[j]) * (1 - least) + 1e-6
+                    i, j = i[some], j[some]
                 if leading:
                     np.maximum.at(heavy, i, rank[j])
                     np.maximum.at(heavy, j, rank[i])
@@ -132,6 +148,43 @@ def apart(nodes: DataFrame, budget: int, least: float, leading: bool) -> DataFra
     return dealt(nodes, cut, choices, columns).mapInArrow(walk, "a bigint, b bigint").distinct()
 
 
+def parity(hashes: np.ndarray, most: int = 8192) -> bytes:
+    """Of each class of hashes whether their number is odd, a bit each; about two classes a hash."""
+    n = min(most, 1 << max(6, (2 * len(hashes) - 1).bit_length()))
+    odd = np.bincount((hashes & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+class Parities:
+    """Parities of many sets. The classes of a wider one are halves of those of a narrower one, so
+    a pair is compared by the narrower one's, to which the other is folded."""
+
+    def __init__(self, each: np.ndarray):
+        each = [p or b"" for p in each]
+        self.width = np.fromiter((len(p) // 8 for p in each), np.int64, len(each))
+        self.start = np.cumsum(self.width) - self.width
+        self.words = np.frombuffer(b"".join(each), "<u8")
+
+    def differ(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """In how many parities the pairs differ; 0 where one is unknown."""
+        out = np.zeros(len(i), np.int64)
+        common = np.minimum(self.width[i], self.width[j])
+        for width in np.unique(common[common > 0]).tolist():
+            own = np.flatnonzero(common == width)
+            for at in range(0, len(own), 4 * WALK // width):
+                some = own[at:at + 4 * WALK // width]
+                out[some] = np.bitwise_count(
+                    self.folded(i[some], width) ^ self.folded(j[some], width)).sum(1)
+        return out
+
+    def folded(self, i: np.ndarray, width: int) -> np.ndarray:
+        out = np.zeros((len(i), width), np.uint64)
+        for at in range(0, int(self.width[i].max()), width):
+            more = np.flatnonzero(self.width[i] > at)
+            out[more] ^= self.words[(self.start[i[more]] + at)[:, None] + np.arange(width)]
+        return out
+
+
 def pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
@@ -152,8 +205,8 @@ def whole_buckets(batches: Iterator[pa.RecordBatch], columns: tuple) -> Iterator
     held: list[tuple[np.ndarray, ...]] = []
     size = 0
     for batch in batches:
-        held.append(tuple(batch.column(c).to_numpy() for c in columns))
-        size += batch.num_rows
+        held.append(tuple(batch.column(c).to_numpy(False) for c in columns))
+        size += max(batch.num_rows, batch.nbytes // ROW_BYTES)
         if size >= ROWS:
             rows = tuple(np.concatenate(x) for x in zip(*held))
             last = int(np.searchsorted(rows[0], rows[0][-1]))

@@ -12,7 +12,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from scrutiny.llm import automata, collocations, divergence, fuzzy_hash, k2tree
+from scrutiny.llm import automata, collocations, divergence, fuzzy_hash, k2tree, quality_rules
 from scrutiny.llm.common import top_rows
 from scrutiny.llm.words import cut, kinds, numbered
 from tests.llm.conftest import EXTRA, awkward_rows
@@ -377,3 +377,21 @@ def test_fingerprints_and_pairs(awkward, spark):
     pairs = spark.createDataFrame([("0::", "0::"), ("0:a:", None), ("0:abcdefgh:abcd", "0:abcdefgx:abcd")],
                                   "a string, b string")
     assert [r.likeness for r in fuzzy_hash.compared(pairs, "a", "b").collect()] == [1.0, None, 1.0]
+
+
+def test_features_are_joined_in_row_order():
+    column = pa.chunked_array([pa.array([b"abcd", None, b"", b"efgh"], pa.binary()).slice(1),
+                               pa.array([], pa.binary()), pa.array([b"ijklmnop"], pa.binary())])
+    for kind in (pa.binary(), pa.large_binary()):
+        assert quality_rules._joined(column.cast(kind), "<u4").tobytes() == b"efghijklmnop"
+    assert len(quality_rules._joined(column.slice(0, 0), np.float16)) == 0
+
+
+def test_fit_gives_its_memory_back(spark, make_docs, monkeypatch):
+    calls = []
+    monkeypatch.setattr(quality_rules, "give_back", lambda: calls.append(1))
+    docs = make_docs([(i, "plain words of prose here" if i % 2 else "#$ %% ** zq zq") for i in range(40)])
+    labels = spark.createDataFrame([(i, i % 2, int(i % 4 == 0)) for i in range(40)],
+                                   "doc_id bigint, quality int, toxic int")
+    model = quality_rules.fit(docs, labels)
+    assert model.junk and model.toxic and calls

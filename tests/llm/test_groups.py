@@ -166,6 +166,49 @@ def test_pairs_apart_are_all_pairs_between_labels(spark, monkeypatch):
     assert some <= want and {n for p in some for n in p} == {n for p in want for n in p}
 
 
+def test_unlike_variants_are_not_listed_in_pairs(make_docs, monkeypatch):
+    """Fingerprints within the budget, sets too far apart: the square of the family must not come out."""
+    rng = random.Random(4)
+    base, rows = text_of(rng, 300), []
+    for i in range(240):
+        own = list(base)
+        for p in rng.sample(range(10, 290), 9):
+            own[p] = f"edit{i}x{p}"
+        rows.append((i, " ".join(own)))
+    rows += [(1000 + i, " ".join(t.split()[1:])) for i, t in rows[:20]]
+    asked, verified = [], simhash.verified
+    monkeypatch.setattr(simhash, "verified", lambda pairs, *rest: asked.append(pairs.count()) or verified(pairs, *rest))
+    docs = make_docs(rows)
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs).collect()) == list(range(240))
+    assert len(asked) == 3 and sum(asked[1:]) < 2 * len(rows)
+
+
+def test_parities_never_tell_more_than_the_difference():
+    rng = np.random.default_rng(8)
+    sizes = [0, 1, 30, 40, 300, 330, 5000, 6000, 20_000]
+    pool = rng.integers(0, 1 << 63, 30_000).astype(np.uint64)
+    sets = [np.unique(rng.choice(pool[:2 * n + 1], n)) for n in sizes for _ in range(3)]
+    parities = trie_join.Parities(np.array([*map(trie_join.parity, sets), None], object))
+    i, j = (x.ravel() for x in np.indices((len(sets) + 1,) * 2))
+    got = parities.differ(i, j).reshape(len(sets) + 1, -1)
+    true = np.array([[len(np.setxor1d(a, b)) for a in sets] for b in sets])
+    assert (got[:-1, :-1] <= true).all() and not got[-1].any() and not got[:, -1].any()
+    assert not np.diag(got).any() and (got[:-1, :-1][(true > 9) & (true < 800)] > 0).all()
+
+
+def test_jobs_of_the_near_dedup_are_few(spark, make_docs):
+    """The driver remembers each task of each job."""
+    rng = random.Random(6)
+    rows = [(i, " ".join(text_of(rng, 60))) for i in range(20)]
+    rows += [(100 + i, t + " more") for i, t in rows] + [(200 + i, t) for i, t in rows]
+    spark.sparkContext.setJobGroup("near-dedup", "")
+    try:
+        assert simhash.keep_one(make_docs(rows)).count() == 20
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("near-dedup")) < 110
+
+
 def test_near_duplicates_of_awkward_rows(awkward, nothing):
     kept = simhash.keep_one(awkward)
     assert kept.columns == awkward.columns
