@@ -231,6 +231,28 @@ def looked_up(layers: Layers, queries: Layers) -> list[np.ndarray]:
     return out
 
 
+def stacked(parts: Sequence[Layers]) -> Layers:
+    """The nodes of all parts side by side, layer by layer, nothing united: one acceptor to look
+    up instead of many. Its nodes are not in the order of their sequences."""
+    codes, words = numbered([p.words for p in parts])
+    codes = np.split(codes, np.cumsum([len(p.words) for p in parts])[:-1])
+    label, parent, weight = [], [], []
+    first = [0] * len(parts)
+    for d in range(len(parts[0].label)):
+        label.append(np.concatenate([c[p.label[d]] for c, p in zip(codes, parts)]))
+        parent.append(np.concatenate([p.parent[d] + at for at, p in zip(first, parts)]))
+        weight.append(np.concatenate([p.weight[d] for p in parts]))
+        first = np.cumsum([0, *(len(p.label[d]) for p in parts[:-1])]).tolist()
+    return Layers(words, label, parent, weight)
+
+
+def apart(whole: Layers, parts: Sequence[Layers]) -> list[list[np.ndarray]]:
+    """The weights of stacked parts, for each part."""
+    layers = [np.split(w, np.cumsum([len(p.label[d]) for p in parts])[:-1])
+              for d, w in enumerate(whole.weight)]
+    return [list(own) for own in zip(*layers)]
+
+
 def weights_at(layers: Layers, depth: int, nodes: np.ndarray) -> np.ndarray:
     """Weights of nodes of a layer; 0 for -1."""
     return np.append(layers.weight[depth], 0)[nodes]

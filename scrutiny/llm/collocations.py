@@ -2,8 +2,12 @@
 
 Every shard of texts (a bounded number of bytes) sorts its sequences of one to three words,
 below their language, and builds an acyclic count transducer for each of the sampled prefix
-ranges, one after the other in sorted order. A range's transducers are united and their
+ranges, one after the other in sorted order. Where there are many ranges it builds one for each
+group of neighbouring ranges; bundles of these are united and divided further, round by round.
+So a transducer is never cut into more than ``FAN_OUT`` pieces, and work and pieces follow the
+text, not the number of shards times that of ranges. A range's transducers are united and their
 weights summed in one task; what no candidate can use (weight under ``least``) is left out.
+The little that is left is held by fewer, wider ranges of about equal size.
 The parts of candidates are looked up by composition: a range sends acceptors of the parts to
 the ranges that hold them, which answer with the same automaton weighted by counts. The
 acceptors carry the weights of longer candidates, so a range learns which of its phrases are
@@ -23,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,12 +37,21 @@ from scrutiny.llm.common import give_back, partitions, stored, text_slices, top_
 from scrutiny.llm.words import cut, kinds, numbered
 
 KINDS = kinds(gap=b" \t", stop=b".,;:!?\n\v\f\r")
-#: Text bytes behind one automaton of a shard; and behind one range, at least.
-SHARD_BYTES = 6 << 20
+#: Text bytes behind one automaton of a shard, behind a bundle; and behind one range, at least.
+SHARD_BYTES = BUNDLE_BYTES = 6 << 20
 RANGE_BYTES = 8 << 20
 #: Documents looked at for the splitters, for each range; every so many-th sequence is a sample.
 SAMPLE_DOCS, SAMPLE_STEP = 60, 64
+#: Pieces that one transducer is divided into, at most.
+FAN_OUT = 128
+#: Bytes of finished counts (folded) behind one range of the lookups; and ranges of a small table.
+PART_BYTES, FEWEST = 512 << 10, 32
+#: Candidates scored at once.
+SCORED = 1 << 15
+#: Steps of a sequence of pairs of numbers that fills 0 to 1 without gaps or heaps.
+EVEN = 0.7548776662466927, 0.5698402909980532
 DEPTH = 4  # the language and up to three words
+PIECES = "to int, bundle int, blob binary"
 BLOBS = "to int, source int, kind string, blob binary"
 
 
@@ -51,10 +65,20 @@ def mine(docs: DataFrame, least: int = 10, covered: int = 50, top: int = 2000) -
     size = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
     ranges = max(partitions(docs.sparkSession), math.ceil((size["b"] or 0) / RANGE_BYTES))
     splitters = _splitters(rows, ranges, size["n"])
-    shards = rows.mapInArrow(_shards(splitters), "to int, blob binary")
-    counts = stored(
-        shards.groupBy("to").applyInArrow(_united(splitters, least), BLOBS), "phrase-counts")
-    answers = stored(counts.groupBy("to").applyInArrow(_composed(covered), BLOBS), "phrase-parts")
+    steps = _steps(len(splitters) + 1)
+    bundles = [math.ceil((size["b"] or 0) * step / ((len(splitters) + 1) * BUNDLE_BYTES)) or 1
+               for step in steps]
+    pieces = rows.mapInArrow(_shards(splitters[steps[0] - 1::steps[0]], bundles[0]), PIECES)
+    for k, step in enumerate(steps[1:], 1):
+        pieces = pieces.groupBy("to", "bundle").applyInArrow(
+            _divided(splitters[step - 1::step], steps[k - 1] // step, bundles[k - 1:k + 1]), PIECES)
+    counts = stored(pieces.groupBy("to").applyInArrow(_united(least), "to int, blob binary"),
+                    "phrase-counts")
+    starts = _wider(counts, partitions(docs.sparkSession))
+    wide = counts.mapInArrow(_renumbered(starts), "to int, blob binary")
+    asked = wide.groupBy("to").applyInArrow(
+        _asked([splitters[k - 1] for k in starts[1:]]), BLOBS)
+    answers = stored(asked.groupBy("to").applyInArrow(_composed(covered), BLOBS), "phrase-parts")
     found = answers.groupBy("to").applyInArrow(
         _scored, "lang string, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint")
     best = top_rows(found, ["lang"], [F.desc("score"), F.desc("a"), F.asc("phrase")], top)
@@ -92,17 +116,51 @@ def _layers(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Layers]:
         yield made()
 
 
-def _shards(splitters: list[tuple[bytes, ...]]):
+def _steps(ranges: int) -> list[int]:
+    """How many ranges a piece holds after each round: as few rounds as keep to ``FAN_OUT``,
+    dividing alike; 1 at the end."""
+    rounds = 1
+    while FAN_OUT ** rounds < ranges:
+        rounds += 1
+    width = 1
+    while width ** rounds < ranges:
+        width += 1
+    return [width ** k for k in range(rounds - 1, -1, -1)]
+
+
+def _shards(splitters: list[tuple[bytes, ...]], bundles: int):
+    """The pieces of shards, those of a shard in the same bundle; shards are dealt out evenly."""
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, n = TaskContext.get().partitionId(), 0
         for layers in _layers(batches, SHARD_BYTES):
-            yield _rows([(to, automata.folded(part)) for to, part in _pieces(layers, splitters)],
-                        ["to", "blob"])
+            bundle = int((task * EVEN[0] + n * EVEN[1]) % 1 * bundles)
+            yield _rows([(to, bundle, automata.folded(part))
+                         for to, part in _pieces(layers, splitters)], ["to", "bundle", "blob"])
+            n += 1
             del layers
             give_back()
 
     return build
 
 
+def _divided(splitters: list[tuple[bytes, ...]], width: int, bundles: list[int]):
+    """A bundle of a group's transducers as one, in pieces for the ``width`` parts of the group.
+    There were and will be so many bundles of each group and part."""
+
+    def divide(group: pa.Table) -> pa.Table:
+        to, bundle = (group.column(c)[0].as_py() for c in ("to", "bundle"))
+        whole = automata.union([automata.unfolded(b) for b in group.column("blob").to_pylist()])
+        inner = splitters[to * width:(to + 1) * width - 1]
+        out = [(to * width + k, bundle * bundles[1] // bundles[0], automata.folded(part))
+               for k, part in _pieces(whole, inner)]
+        del whole
+        give_back()
+        return pa.Table.from_batches([_rows(out, ["to", "bundle", "blob"])])
+
+    return divide
+
+
 def _pieces(layers: Layers, splitters: list[tuple[bytes, ...]]) -> Iterator[tuple[int, Layers]]:
     """The non-empty ranges of a transducer, in order."""
     at = automata.cuts(layers, splitters)
@@ -113,7 +171,8 @@ def _pieces(layers: Layers, splitters: list[tuple[bytes, ...]]) -> Iterator[tupl
 
 
 def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    kinds_of = {"to": pa.int32(), "source": pa.int32(), "kind": pa.string(), "blob": pa.binary()}
+    kinds_of = {"to": pa.int32(), "bundle": pa.int32(), "source": pa.int32(), "kind": pa.string(),
+                "blob": pa.binary()}
     columns = list(zip(*rows)) if rows else [[]] * len(names)
     return pa.RecordBatch.from_arrays(
         [pa.array(c, kinds_of[n]) for c, n in zip(columns, names)], names)
@@ -146,14 +205,52 @@ def _splitters(rows: DataFrame, ranges: int, n_docs: int) -> list[tuple[bytes, .
     return found[1:]
 
 
-def _united(splitters: list[tuple[bytes, ...]], least: int):
-    """A range's transducer, and acceptors of the parts of its candidates for other ranges."""
+def _united(least: int):
+    """A range's transducer, without what no candidate can use."""
 
     def unite(group: pa.Table) -> pa.Table:
         to = group.column("to")[0].as_py()
         whole = automata.union([automata.unfolded(b) for b in group.column("blob").to_pylist()])
         keep = [whole.weight[0] > 0] + [w >= least for w in whole.weight[1:]]
-        whole = automata.chosen(whole, keep)
+        out = automata.folded(automata.chosen(whole, keep))
+        del whole
+        give_back()
+        return pa.Table.from_batches([_rows([(to, out)], ["to", "blob"])])
+
+    return unite
+
+
+def _wider(counts: DataFrame, fewest: int) -> list[int]:
+    """The first range of each wider one. One small row a range reaches the driver."""
+    sizes = sorted(tuple(r) for r in counts.select("to", F.octet_length("blob")).collect())
+    whole = sum(n for _, n in sizes)
+    parts = max(math.ceil(whole / PART_BYTES), min(fewest, FEWEST))
+    starts, last, before = [0], 0, 0
+    for to, n in sizes:
+        part = (2 * before + n) * parts // (2 * whole)
+        if part > last and before:
+            starts.append(to)
+            last = part
+        before += n
+    return starts
+
+
+def _renumbered(starts: list[int]):
+    def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            to = np.searchsorted(starts, batch.column("to").to_numpy(), "right") - 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(to, pa.int32()), batch.column("blob")], ["to", "blob"])
+
+    return renumber
+
+
+def _asked(splitters: list[tuple[bytes, ...]]):
+    """A wider range's transducer, and acceptors of the parts of its candidates for all ranges."""
+
+    def ask(group: pa.Table) -> pa.Table:
+        to = group.column("to")[0].as_py()
+        whole = automata.union([automata.unfolded(b) for b in group.column("blob").to_pylist()])
         out = [(to, to, "counts", automata.folded(whole))]
         for target, part in _pieces(_parts(whole), splitters):
             out.append((target, to, "parts", automata.folded(part)))
@@ -161,7 +258,7 @@ def _united(splitters: list[tuple[bytes, ...]], least: int):
         give_back()
         return pa.Table.from_batches([_rows(out, ["to", "source", "kind", "blob"])])
 
-    return unite
+    return ask
 
 
 def _candidates(layers: Layers, depth: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -189,15 +286,17 @@ def _composed(covered: int):
         counts = own[0] if own else None
         out = []
         longer = np.zeros(len(counts.label[2]) + 1 if own else 1, np.int64)
-        for source, kind, blob in rows:
-            if kind != "parts" or counts is None:
-                continue
-            asked = automata.unfolded(blob)
-            nodes = automata.looked_up(counts, asked)
-            np.maximum.at(longer, nodes[2], asked.weight[2])  # -1 is the spare place at the end
-            answer = asked._replace(weight=[automata.weights_at(counts, d, n)
-                                            for d, n in enumerate(nodes)])
-            out.append((source, to, "answer", automata.folded(answer)))
+        for sources, blobs in _together([(s, b) for s, kind, b in rows if kind == "parts"]):
+            if counts is None:
+                break
+            asked = [automata.unfolded(b) for b in blobs]
+            every = automata.stacked(asked)
+            nodes = automata.looked_up(counts, every)
+            np.maximum.at(longer, nodes[2], every.weight[2])  # -1 is the spare place at the end
+            found = every._replace(weight=[automata.weights_at(counts, d, n)
+                                           for d, n in enumerate(nodes)])
+            for source, one, weight in zip(sources, asked, automata.apart(found, asked)):
+                out.append((source, to, "answer", automata.folded(one._replace(weight=weight))))
         if counts is not None:
             gone = (longer[:-1] > 0) & (100 * longer[:-1] >= covered * counts.weight[2])
             weight = list(counts.weight)
@@ -208,12 +307,24 @@ def _composed(covered: int):
     return compose
 
 
+def _together(rows: list[tuple[int, bytes]]) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Acceptors that are looked up at once: about ``PART_BYTES``, or one larger."""
+    start = held = 0
+    for i, (_, blob) in enumerate(rows):
+        if i > start and held + len(blob) > PART_BYTES:
+            yield tuple(map(list, zip(*rows[start:i])))
+            start, held = i, 0
+        held += len(blob)
+    if rows[start:]:
+        yield tuple(map(list, zip(*rows[start:])))
+
+
 def _scored(group: pa.Table) -> pa.Table:
     """Candidates of a range with their parts and scores, in exact arithmetic."""
     kinds_of, blobs = (group.column(c).to_pylist() for c in ("kind", "blob"))
     counts = [automata.unfolded(b) for k, b in zip(kinds_of, blobs) if k == "counts"]
     answers = [automata.unfolded(b) for k, b in zip(kinds_of, blobs) if k == "answer"]
-    out: list[tuple] = []
+    out: list[pa.Table] = [_phrases([])]
     if counts and answers:
         layers, known = counts[0], automata.union(answers)
         code = automata.translated(layers.words, known.words)
@@ -223,16 +334,26 @@ def _scored(group: pa.Table) -> pa.Table:
             return automata.weights_at(known, len(columns) - 1, nodes).tolist()
 
         for depth in (2, 3):
-            nodes, (lang, *words) = _candidates(layers, depth)
-            spelled = [layers.words.take(pa.array(c)).to_pylist() for c in (lang, *words)]
-            pairs = [(parts(lang, *words[:k]), parts(lang, *words[k:])) for k in range(1, depth)]
-            for i, (a, n) in enumerate(zip(layers.weight[depth][nodes].tolist(), _totals(known, code[lang]))):
-                score, k = min((1_000_000 * a * a // (l[i] * r[i]), k)
-                               for k, (l, r) in enumerate(pairs))
-                out.append((spelled[0][i], b" ".join(w[i] for w in spelled[1:]), a,
-                            pairs[k][0][i], pairs[k][1][i], n, score))
+            nodes, columns = _candidates(layers, depth)
+            for start in range(0, len(nodes), SCORED):
+                lang, *words = (c[start:start + SCORED] for c in columns)
+                weight = layers.weight[depth][nodes[start:start + SCORED]].tolist()
+                spelled = [layers.words.take(pa.array(c)).to_pylist() for c in (lang, *words)]
+                pairs = [(parts(lang, *words[:k]), parts(lang, *words[k:]))
+                         for k in range(1, depth)]
+                rows = []
+                for i, (a, n) in enumerate(zip(weight, _totals(known, code[lang]))):
+                    score, k = min((1_000_000 * a * a // (l[i] * r[i]), k)
+                                   for k, (l, r) in enumerate(pairs))
+                    rows.append((spelled[0][i], b" ".join(w[i] for w in spelled[1:]), a,
+                                 pairs[k][0][i], pairs[k][1][i], n, score))
+                out.append(_phrases(rows))
+    return pa.concat_tables(out)
+
+
+def _phrases(rows: list[tuple]) -> pa.Table:
     names = ("lang", "phrase", "a", "l", "r", "n", "score")
-    columns = list(zip(*out)) if out else [[]] * len(names)
+    columns = list(zip(*rows)) if rows else [[]] * len(names)
     return pa.table({n: pa.array(c, pa.binary()).cast(pa.string()) if n in ("lang", "phrase")
                      else pa.array(c, pa.int64()) for n, c in zip(names, columns)})
 

@@ -93,9 +93,11 @@ def numbered(words: list[pa.Array]) -> tuple[np.ndarray, pa.Array]:
     """A number for each word, and the distinct words in byte order that they count."""
     if not words:
         return np.zeros(0, np.int64), pa.array([], pa.binary())
-    coded = pa.chunked_array(words, pa.binary()).dictionary_encode().unify_dictionaries()
-    table = coded.chunk(0).dictionary
+    # as one array: the dictionaries of many would each be read again for each other
+    whole = pa.chunked_array(words, pa.binary()).cast(pa.large_binary()).combine_chunks()
+    coded = whole.dictionary_encode()
+    table = coded.dictionary.cast(pa.binary())
     order = pc.array_sort_indices(table)
     rank = np.empty(len(table), np.int64)
     rank[order.to_numpy()] = np.arange(len(table))
-    return rank[np.concatenate([c.indices.to_numpy() for c in coded.chunks])], table.take(order)
+    return rank[coded.indices.to_numpy()], table.take(order)

@@ -157,6 +157,61 @@ def test_phrases_equal_brute_force(awkward, monkeypatch, range_bytes):
     assert sorted(map(tuple, got.collect())) == phrases(awkward_rows(), 3, 50, 300)
 
 
+@pytest.mark.parametrize("fan_out, rounds", [(1000, 1), (8, 2), (4, 3)])
+def test_pieces_follow_the_text_not_the_number_of_ranges(spark, make_docs, monkeypatch, fan_out, rounds):
+    rows = [(i, " ".join(f"w{(i * i + j * j) % 23} v{j % 7} u{(i + j) % 5}{'.' * (j % 11 == 0)}" for j in range(90)),
+             ("en", "fr", None)[i % 3], "s") for i in range(120)]
+    sent, kept, own_shards = spark.sparkContext.accumulator(0), {}, collocations._shards
+
+    def shards(*args):
+        build = own_shards(*args)
+
+        def counted(batches):
+            for batch in build(batches):
+                sent.add(batch.num_rows)
+                yield batch
+
+        return counted
+
+    def stored(frame, label, own=collocations.stored):
+        out = own(frame, label)
+        kept[label] = out.count()
+        return out
+
+    for name, value in (("RANGE_BYTES", 2000), ("SHARD_BYTES", 9000), ("BUNDLE_BYTES", 9000),
+                        ("FAN_OUT", fan_out), ("_shards", shards), ("stored", stored), ("SCORED", 50)):
+        monkeypatch.setattr(collocations, name, value, raising=False)
+    got = collocations.mine(make_docs(rows).repartition(4), least=4, covered=50, top=300)
+    assert sorted(map(tuple, got.collect())) == phrases(rows, 4, 50, 300)
+    assert sent.value <= 4 * fan_out  # a shard for each task
+    assert kept["phrase-counts"] <= 60 and kept["phrase-parts"] <= 8 * 8 + 8  # 8 wide ranges
+    assert len(collocations._steps(kept["phrase-counts"])) == rounds
+
+
+def test_steps_reach_every_range(monkeypatch):
+    for fan_out in (2, 3, 7, 128):
+        monkeypatch.setattr(collocations, "FAN_OUT", fan_out)
+        for n in (1, 2, 3, 5, 64, 127, 128, 129, 1270, 6300):
+            whole, steps = [*collocations._steps(n), 1][0], collocations._steps(n)
+            assert steps[-1] == 1 and -(-n // whole) <= fan_out
+            assert all(a % b == 0 and a // b <= fan_out for a, b in zip(steps, steps[1:]))
+
+
+def test_words_of_many_arrays_are_read_once():
+    import time
+
+    def took(k):
+        parts = [pa.array([b"%07d" % i for i in range(j, 100_000, k)], pa.binary()) for j in range(k)]
+        began = time.process_time()
+        codes, table = numbered(parts)
+        spent = time.process_time() - began
+        assert table.to_pylist() == [b"%07d" % i for i in range(100_000)]
+        assert codes[:2].tolist() == [0, k] and len(codes) == 100_000
+        return spent
+
+    assert min(took(400) for _ in range(3)) < 10 * min(took(2) for _ in range(3)) + 0.1
+
+
 def test_phrases_of_nothing(nothing):
     assert collocations.mine(nothing).collect() == []
 
